@@ -1,0 +1,303 @@
+"""Streams: same result as batch, safe to repeat and restart, complete state over time."""
+
+import json
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.operators import apply
+from tidelog.plans import changes as ch
+from tidelog.plans.writing import streamed_log
+from tidelog.sources import storage
+from tidelog.sources.readers import generator, kafka_options, message_stream
+from tidelog.streaming import completeness, runner, writers
+from tidelog.streaming.mirror_table import MirrorTable
+
+KEY, ORDER = ["user_id"], ["event_time", "lsn"]
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small):
+    return [r["value"] for r in ch.envelopes(spark, small).collect()]
+
+
+@pytest.fixture(scope="module")
+def batch_log(spark, texts):
+    return streamed_log(spark.createDataFrame([(t,) for t in texts], "value STRING")).persist()
+
+
+def bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def feed(folder, parts, start=0):
+    """One file per part, each clearly newer than the one before."""
+    os.makedirs(folder, exist_ok=True)
+    base = time.time() - 10_000
+    for i, part in enumerate(parts, start):
+        path = f"{folder}/part-{i:03d}.txt"
+        with open(path, "w") as out:
+            out.write("".join(line + "\n" for line in part))
+        os.utime(path, (base + 10 * i, base + 10 * i))
+
+
+def shuffled_parts(texts, n, seed=1):
+    mixed = list(texts)
+    random.Random(seed).shuffle(mixed)
+    return [mixed[i::n] for i in range(n)]
+
+
+def table(spark, tmp_path, log, **more):
+    return MirrorTable(spark, f"{tmp_path}/mirror", log.schema, KEY, ORDER, **more)
+
+
+@pytest.mark.parametrize("fold_every", [None, 2])
+def test_mirror_equals_batch_in_any_file_order(spark, tmp_path, texts, batch_log, fold_every):
+    feed(f"{tmp_path}/in", shuffled_parts(texts, 5))
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+    mirror = table(spark, tmp_path, stream)
+    query = runner.run(stream, mirror.each_batch(fold_every), f"{tmp_path}/cp")
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
+    want = apply.mirror_current(batch_log, KEY, ORDER)
+    assert bag(mirror.current()) == bag(want)
+    assert bag(mirror.with_deleted()) == bag(apply.mirror_soft_delete(batch_log, KEY, ORDER))
+    assert mirror.versions() == ([1, 3] if fold_every else [])
+
+
+def test_append_survives_a_restart(spark, tmp_path, texts, batch_log):
+    parts = shuffled_parts(texts, 4)
+    feed(f"{tmp_path}/in", parts[:2])
+    for more in ([], parts[2:], []):
+        feed(f"{tmp_path}/in", more, start=2)
+        stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+        writers.append(stream, f"{tmp_path}/out", f"{tmp_path}/cp", by=["operation"])
+    out = spark.read.parquet(f"{tmp_path}/out").select(*batch_log.columns)
+    assert bag(out) == bag(batch_log)
+
+
+def test_a_batch_that_fails_half_way_is_repeated(spark, tmp_path, texts, batch_log):
+    """Batch 2 writes its delta and then fails; the restarted query replays it."""
+    feed(f"{tmp_path}/in", shuffled_parts(texts, 4))
+    make = lambda: streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+    mirror = table(spark, tmp_path, make())
+    inner = mirror.each_batch(fold_every=3)
+
+    def failing(rows, batch_id):
+        inner(rows, batch_id)
+        if batch_id == 2:
+            raise RuntimeError("lost after writing")
+
+    with pytest.raises(Exception, match="lost after writing"):
+        runner.run(make(), failing, f"{tmp_path}/cp")
+    runner.run(make(), inner, f"{tmp_path}/cp")
+    assert mirror.batches() == [0, 1, 2, 3]
+    assert bag(mirror.current()) == bag(apply.mirror_current(batch_log, KEY, ORDER))
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_history_fold_and_vacuum(spark, tmp_path, batch_log, buckets):
+    parts = batch_log.randomSplit([1.0] * 6, seed=4)
+    mirror = table(spark, tmp_path, batch_log, buckets=buckets)
+    for i, part in enumerate(parts):
+        mirror.write_batch(part, i)
+
+    def upto(n):
+        rows = parts[0]
+        for part in parts[1 : n + 1]:
+            rows = rows.unionByName(part)
+        return bag(apply.mirror_current(rows, KEY, ORDER))
+
+    wants = [upto(n) for n in range(6)]
+    assert [bag(mirror.current(n)) for n in range(6)] == wants
+    assert mirror.fold(1) == 1 and mirror.fold(3) == 3 and mirror.fold(3) == 3
+    assert [bag(mirror.current(n)) for n in range(6)] == wants
+    mirror.broadcast_bytes = -1
+    assert [bag(mirror.current(n)) for n in range(6)] == wants
+    mirror.vacuum(3)
+    assert mirror.batches() == [4, 5] and mirror.versions() == [3]
+    assert [bag(mirror.current(n)) for n in (3, 4, 5)] == wants[3:]
+    with pytest.raises(ValueError):
+        mirror.vacuum(5)
+
+
+def test_an_unfinished_base_is_not_read(spark, tmp_path, batch_log):
+    mirror = table(spark, tmp_path, batch_log)
+    mirror.write_batch(batch_log, 0)
+    batch_log.limit(3).write.parquet(f"{tmp_path}/mirror/base/version=0")
+    assert mirror.versions() == []
+    assert bag(mirror.current()) == bag(apply.mirror_current(batch_log, KEY, ORDER))
+    mirror.fold()
+    assert mirror.versions() == [0]
+    assert bag(mirror.current()) == bag(apply.mirror_current(batch_log, KEY, ORDER))
+
+
+def test_an_empty_mirror(spark, tmp_path, batch_log):
+    assert table(spark, tmp_path, batch_log).current().count() == 0
+
+
+def test_a_late_older_event_does_not_bring_back_a_deleted_row(spark, tmp_path, batch_log):
+    row = {c: None for c in batch_log.columns}
+    make = lambda op, ms: spark.createDataFrame(
+        [tuple({**row, "op": op, "user_id": 1, "lsn": ms, "operation": op}[c] for c in batch_log.columns)],
+        batch_log.schema,
+    )
+    mirror = table(spark, tmp_path, batch_log)
+    mirror.write_batch(make("c", 1), 0)
+    mirror.write_batch(make("d", 9), 1)
+    mirror.fold()
+    mirror.write_batch(make("u", 5), 2)
+    assert mirror.current().count() == 0
+    mirror.fold()
+    assert mirror.current().count() == 0 and mirror.with_deleted().count() == 1
+
+
+def test_small_deltas_leave_the_base_in_place(spark, tmp_path, batch_log, capsys):
+    mirror = table(spark, tmp_path, batch_log)
+    mirror.write_batch(batch_log, 0)
+    mirror.fold()
+    mirror.write_batch(batch_log.limit(5), 1)
+    mirror.current().explain()
+    plan = capsys.readouterr().out
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "user_id" in line
+    assert plan.count("Exchange hashpartitioning") <= 3
+
+
+def test_larger_deltas_are_shuffled_to_a_bucketed_base(spark, tmp_path, batch_log, capsys):
+    parts = batch_log.randomSplit([5.0, 1.0, 1.0], seed=2)
+    mirror = table(spark, tmp_path, batch_log, broadcast_bytes=-1, buckets=3)
+    for i, part in enumerate(parts):
+        mirror.write_batch(part, i)
+        if i < 2:
+            mirror.fold()
+    mirror.current().explain()
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan, plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert len([f for f in os.listdir(f"{tmp_path}/mirror/base/version=1") if f.endswith(".parquet")]) == 3
+    spark.sql(f"DROP TABLE {mirror._base_table(1)}")
+    again = table(spark, tmp_path, batch_log, broadcast_bytes=-1, buckets=3)
+    assert bag(again.current()) == bag(apply.mirror_current(batch_log, KEY, ORDER))
+
+
+def test_dedupe_within_watermark_over_batches(spark, tmp_path, texts, batch_log):
+    """Files follow event time and each repeats the end of the one before."""
+    ordered = sorted(texts, key=lambda t: json.loads(t)["ts_ms"])
+    step = len(ordered) // 4 + 1
+    parts = [ordered[max(0, i - 20) : i + step] for i in range(0, len(ordered), step)]
+    feed(f"{tmp_path}/in", parts)
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+    unique = apply.dedupe_stream(stream, KEY, ["lsn"], disorder="3 days")
+    writers.append(unique, f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert bag(spark.read.schema(batch_log.schema).parquet(f"{tmp_path}/out")) == bag(batch_log)
+
+
+def test_late_rows_are_dropped_by_state_but_not_by_the_log(spark, tmp_path, texts, batch_log):
+    ordered = sorted(texts, key=lambda t: json.loads(t)["ts_ms"])
+    feed(f"{tmp_path}/in", [ordered[10:], [], ordered[:10]])
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+    unique = apply.dedupe_stream(stream, KEY, ["lsn"])
+    query = writers.append(unique, f"{tmp_path}/out", f"{tmp_path}/cp")
+    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    assert late == 10
+    assert spark.read.parquet(f"{tmp_path}/out").count() == len(texts) - 10
+    writers.append(stream, f"{tmp_path}/log", f"{tmp_path}/cp2")
+    assert spark.read.parquet(f"{tmp_path}/log").count() == len(texts)
+
+
+@pytest.mark.parametrize("sink", ["files", "batches"])
+def test_latest_startup_skips_what_is_there(spark, tmp_path, texts, sink):
+    feed(f"{tmp_path}/in", [texts[:10], texts[10:20]])
+    stream = message_stream(spark, f"{tmp_path}/in", 1)
+
+    def start():
+        if sink == "files":
+            writers.append(stream, f"{tmp_path}/out", f"{tmp_path}/cp", startup="latest")
+        else:
+            each = writers.fan_out({"out": (f"{tmp_path}/out", lambda rows: rows)})
+            runner.run(stream, each, f"{tmp_path}/cp", startup="latest")
+
+    start()
+    for count, part in ((10, texts[20:30]), (30, texts[30:50])):
+        feed(f"{tmp_path}/in", [part], start=count)
+        start()
+        assert spark.read.parquet(f"{tmp_path}/out").count() == count
+    with pytest.raises(ValueError):
+        writers.append(stream, f"{tmp_path}/out", f"{tmp_path}/cp", startup="middle")
+
+
+def test_record_time_comes_from_the_file(spark, tmp_path, texts):
+    feed(f"{tmp_path}/in", [texts[:3]])
+    writers.append(message_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    row = spark.read.parquet(f"{tmp_path}/out").select(F.unix_seconds("record_time").alias("s")).first()
+    assert abs(row["s"] - os.path.getmtime(f"{tmp_path}/in/part-000.txt")) <= 1
+
+
+def test_partitions_are_marked_once_complete(spark, tmp_path, texts, batch_log):
+    ordered = sorted(texts, key=lambda t: json.loads(t)["ts_ms"])
+    half = len(ordered) // 2
+    feed(f"{tmp_path}/in", [ordered[:half], ordered[half:]])
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+    marks = []
+    commit = completeness.commit_partitions(f"{tmp_path}/t", f"{tmp_path}/progress")
+
+    def each(rows, batch_id):
+        commit(rows, batch_id)
+        marks.append(storage.folders(spark, f"{tmp_path}/t/_complete"))
+
+    runner.run(stream, each, f"{tmp_path}/cp")
+    status = {str(r["event_date"]): r["complete"] for r in completeness.partition_completeness(batch_log).collect()}
+    assert marks[-1] == sorted(f"event_date={d}" for d, done in status.items() if done)
+    assert 0 < len(marks[0]) < len(marks[-1]) < len(status) + 1 and not all(status.values())
+    assert spark.read.parquet(f"{tmp_path}/t").count() == len(texts)
+
+
+def test_json_and_memory_sinks(spark, tmp_path, texts, batch_log):
+    feed(f"{tmp_path}/in", [texts])
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in"))
+    writers.append(stream, f"{tmp_path}/out", f"{tmp_path}/cp", kind="json")
+    assert spark.read.schema(batch_log.schema).json(f"{tmp_path}/out").count() == len(texts)
+    writers.show(stream.select("operation"), f"{tmp_path}/cp2", name="shown")
+    assert spark.table("shown").count() == len(texts)
+    writers.show(stream.select("operation").limit(1), f"{tmp_path}/cp3")
+
+
+def test_streaming_table(spark, tmp_path, texts):
+    feed(f"{tmp_path}/in", [texts])
+    stream = streamed_log(message_stream(spark, f"{tmp_path}/in"))
+    spark.sql("DROP TABLE IF EXISTS streamed_changes")
+    writers.stream_table_as(stream, "streamed_changes", f"{tmp_path}/t", f"{tmp_path}/cp")
+    assert spark.table("streamed_changes").count() == len(texts)
+    spark.sql("DROP TABLE streamed_changes")
+
+
+def test_generator_runs_at_intervals(spark, tmp_path):
+    query = writers.append(generator(spark, 50), f"{tmp_path}/out", f"{tmp_path}/cp", every="1 second")
+    deadline = time.time() + 60
+    while time.time() < deadline and not (query.lastProgress and query.lastProgress["numInputRows"]):
+        time.sleep(0.5)
+    query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() > 0
+
+
+def test_state_in_rocksdb(spark, tmp_path, texts):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    runner.use_rocksdb(spark)
+    try:
+        feed(f"{tmp_path}/in", [texts[:200], texts[:200]])
+        stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
+        writers.append(apply.dedupe_stream(stream, KEY, ["lsn"], disorder="60 days"), f"{tmp_path}/out", f"{tmp_path}/cp")
+        assert spark.read.parquet(f"{tmp_path}/out").count() == 200
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_topic_options():
+    got = kafka_options("broker:9092", "t", startup="latest", rows_per_batch=1000)
+    assert got["startingOffsets"] == "latest" and got["maxOffsetsPerTrigger"] == "1000"

@@ -80,33 +80,31 @@ def unixtime_text(ms: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 def connector_decimal(encoded: Column, scale: int, precision: int = 38) -> Column:
     """Decode a connector decimal: base64 of the big-endian two's complement unscaled integer.
 
-    The integer is read as a signed high part and an unsigned low part of eight bytes each, so up to
-    sixteen bytes (38 digits) decode without leaving the JVM. What does not fit becomes NULL.
+    The hex digits are extended by their sign to one or two words of eight bytes: the first is signed,
+    the second is not. So up to sixteen bytes (38 digits) decode without leaving the JVM, and numbers
+    of up to eight bytes take one word. What does not fit becomes NULL.
     """
-    whole = "decimal(38,0)"
+    target = f"decimal({precision},{scale})"
     digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
     n = F.length(digits)
-    negative = F.substring(digits, 1, 1) >= "8"
-    # 2 ** (4 * number of hex digits) as an exact decimal, one branch for each possible width.
-    width = F.when(n > 16, n - 16).otherwise(n)
-    ceiling = cases((width == d, F.lit(str(1 << (4 * d))).cast(whole)) for d in range(2, 17, 2))
-    offset = F.when(negative, ceiling).otherwise(F.lit(0).cast(whole))
+    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
 
-    def unsigned(text: Column) -> Column:
-        return F.conv(text, 16, 10).cast(whole)
+    def signed(word: Column) -> Column:
+        return F.conv(word, 16, -10).try_cast("bigint")
 
-    target = f"decimal({precision},{scale})"
-    short = unsigned(digits) - offset
+    short = signed(F.lpad(digits, F.lit(16), sign))
     if precision <= 18:
         step = F.lit(f"1E-{scale}").cast(f"decimal({max(scale, 1)},{scale})")
-        value = short.try_cast("decimal(18,0)")
+        value = short.cast("decimal(19,0)")
         return F.when(n <= 16, (value * step if scale else value).try_cast(target))
     # A negative number is taken from the next multiple above it, so that no step exceeds 38 digits.
+    whole = "decimal(38,0)"
     two64 = F.lit(str(1 << 64)).cast("decimal(20,0)")
-    borrow = F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
-    high = unsigned(digits.substr(F.lit(1), n - 16)) - offset + borrow
-    low = unsigned(F.right(digits, F.lit(16))) - borrow * two64
-    long = F.try_add(F.try_multiply(high.try_cast("decimal(19,0)"), two64), low)
-    unscaled = F.when(n <= 16, short).when(n <= 32, long.try_cast(whole))
+    words = F.lpad(digits, F.lit(32), sign)
+    borrow = F.when(sign == "F", 1).otherwise(0)
+    high = (signed(F.left(words, F.lit(16))) + borrow).cast("decimal(19,0)")
+    low = F.conv(F.right(words, F.lit(16)), 16, 10).cast("decimal(20,0)") - borrow.cast("decimal(1,0)") * two64
+    long = F.try_add(F.try_multiply(high, two64), low)
+    unscaled = F.when(n <= 16, short.cast(whole)).when(n <= 32, long.try_cast(whole))
     # Text with an exponent is the one exact shift that keeps all 38 digits.
     return F.concat(unscaled.cast("string"), F.lit(f"E-{scale}")).try_cast(target)

@@ -61,11 +61,11 @@ def snapshot_then_changes(
     return mirror_current(rows, key, ["_phase", *order]).drop("_phase")
 
 
-def apply_join(state: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``state`` with newer ``changes`` applied, as one keyed full outer match.
+def merge_newest(state: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest event of every key in ``state`` or ``changes``, as one keyed full outer match.
 
-    ``state`` holds one row per key with the columns of a log row. Changes are cut to the newest per
-    key first, so both sides are unique and no key can blow up the match.
+    ``state`` holds one log row per key. Changes are cut to the newest per key first, so both sides
+    are unique and no key can blow up the match.
     """
     new = latest(changes, key, order).select(F.struct("*").alias("_new"), *key)
     old = state.select(F.struct("*").alias("_old"), *key)
@@ -75,11 +75,14 @@ def apply_join(state: DataFrame, changes: DataFrame, key: Sequence[str], order:
         return F.struct(*[F.col(side)[c] for c in order])
 
     wins = F.col("_old").isNull() | (F.col("_new").isNotNull() & (rank("_new") >= rank("_old")))
-    fields = [
-        F.when(wins, F.col("_new")[c]).otherwise(F.col("_old")[c]).alias(c)
-        for c in state.columns
-    ]
-    return both.select(*fields).filter(~_deleted())
+    return both.select(
+        *[F.when(wins, F.col("_new")[c]).otherwise(F.col("_old")[c]).alias(c) for c in state.columns]
+    )
+
+
+def apply_join(state: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``state`` with newer ``changes`` applied and deleted rows gone."""
+    return merge_newest(state, changes, key, order).filter(~_deleted())
 
 
 def insert_if_absent(

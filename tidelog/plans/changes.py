@@ -89,8 +89,9 @@ def flat(spark: SparkSession, folder: str) -> DataFrame:
     """Unwrapped rows. Snapshot reads carry no code, and every row with k < 5 is a tombstone."""
     rows = change_rows(spark, folder)
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    rows = rows.withColumn("image", image)
     body = F.struct(
-        *[image[c].alias(c) for c in FEED.row.names],
+        *[F.col("image")[c].alias(c) for c in FEED.row.names],
         F.when(F.col("op") != "r", F.col("op")).alias("__op"),
         F.col("ts_ms").alias("__source_ts_ms"),
         F.lit("app").alias("__source_db"),

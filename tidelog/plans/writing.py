@@ -26,13 +26,10 @@ ALL_SQL = f"WITH {LOG_SQL} SELECT {STATE_SQL} FROM img"
 
 
 def land(messages: DataFrame, folder: str, batches: int = BATCHES) -> int:
-    """Writes messages as text files, as many as there are input splits but at least ``batches``.
-
-    Returns the number of files that make one micro-batch, so that about ``batches`` follow.
-    """
+    """Writes messages as text files, as many as there are input splits but at least ``batches``."""
     files = max(batches, messages.rdd.getNumPartitions())
     messages.repartition(files, "value").write.text(folder)
-    return ceil(files / batches)
+    return files
 
 
 def streamed_log(messages: DataFrame) -> DataFrame:
@@ -41,31 +38,34 @@ def streamed_log(messages: DataFrame) -> DataFrame:
     return normalize(rows, FEED, image="row", carry=log_position(), processing_time=False)
 
 
-def incoming(spark: SparkSession, folder: str, purpose: str) -> tuple[DataFrame, str]:
-    """A stream over the landed change log, and a fresh root folder for what is made of it."""
+def incoming(spark: SparkSession, folder: str, purpose: str) -> tuple[DataFrame, str, int]:
+    """A stream over the landed change log in about ``BATCHES`` micro-batches, a fresh root folder
+    for what is made of it, and the number of files that landed."""
     root = scratch(spark, purpose)
-    per_batch = land(ch.envelopes(spark, folder), f"{root}/in")
-    return streamed_log(message_stream(spark, f"{root}/in", per_batch)), root
+    files = land(ch.envelopes(spark, folder), f"{root}/in")
+    stream = message_stream(spark, f"{root}/in", ceil(files / BATCHES))
+    return streamed_log(stream), root, files
 
 
 @query(ALL_SQL)
 def stream_append(spark, folder):
-    log, root = incoming(spark, folder, "append")
+    log, root, _ = incoming(spark, folder, "append")
     writers.append(log, f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(log.schema).parquet(f"{root}/out")
 
 
 @query(LIVE_SQL)
 def mirror_stream(spark, folder):
-    log, root = incoming(spark, folder, "mirror")
-    mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER)
+    log, root, files = incoming(spark, folder, "mirror")
+    buckets = min(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER, buckets=buckets)
     runner.run(log, mirror.each_batch(fold_every=4), f"{root}/checkpoint")
     return mirror.current()
 
 
 @query(LIVE_SQL)
 def mirror_merge_on_read(spark, folder):
-    log, root = incoming(spark, folder, "deltas")
+    log, root, _ = incoming(spark, folder, "deltas")
     mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER)
     runner.run(log, mirror.each_batch(), f"{root}/checkpoint")
     return mirror.current()
@@ -142,7 +142,7 @@ SELECT 'log' AS target, COUNT(*) AS rows, COUNT(amount) AS amounts, CAST(NULL AS
 UNION ALL SELECT 'debug', COUNT(*), COUNT(amount), 'PostgreSQL_CDC' FROM img WHERE op <> 'd'
 """)
 def fan_out(spark, folder):
-    log, root = incoming(spark, folder, "fan-out")
+    log, root, _ = incoming(spark, folder, "fan-out")
     tagged = lambda rows: rows.filter("op <> 'd'").select(
         "user_id", "amount", F.lit("PostgreSQL_CDC").alias("data_source")
     )

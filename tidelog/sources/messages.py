@@ -9,6 +9,8 @@ ignores unknown ones. A NULL message is a tombstone: parsers skip it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +19,26 @@ from pyspark.sql import types as T
 from tidelog.schema import CORRUPT, DELETE, ORIGIN, Feed
 
 
+def _once(value: Column, name: str, where: Column) -> Column:
+    """``value`` as column ``name`` of the rows with ``where``, computed once per row.
+
+    Spark moves a filter below a projection by repeating the projected expression in the filter,
+    which would parse every message again for each condition on its fields, and repeat whatever made
+    the message for the condition on the message. It moves nothing below a generator, and a
+    generator gives no row for NULL.
+    """
+    return F.inline(F.when(where, F.array(F.struct(value.alias(name)))))
+
+
 def _decoded(messages: DataFrame, schema: T.StructType, column: str, strict: bool) -> DataFrame:
-    others = [c for c in messages.columns if c != column]
+    text = F.col(column)
     if strict:
-        parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
+        parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
     else:
         lenient = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        parsed = F.from_json(F.col(column), lenient, options)
-    rows = messages.filter(F.col(column).isNotNull()).select(*others, parsed.alias("_m"))
+        parsed = F.from_json(text, lenient, options)
+    rows = messages.select(*_carried(messages, column), _once(parsed, "_m", text.isNotNull()))
     corrupt = F.lit(None).cast("string") if strict else F.col(f"_m.{CORRUPT}")
     return rows.withColumn(CORRUPT, corrupt)
 
@@ -58,7 +71,7 @@ def _origin(**known: Column) -> Column:
 def _image(feed: Feed, pick, present: Column | None = None) -> Column:
     """A row image from loose columns; NULL where ``present`` fails or every column is NULL."""
     columns = {name: pick(name) for name in feed.row.names}
-    filled = F.coalesce(*[c.cast("string") for c in columns.values()]).isNotNull()
+    filled = reduce(or_, [c.isNotNull() for c in columns.values()])
     cond = filled if present is None else filled & present
     return F.when(cond, F.struct(*[c.alias(n) for n, c in columns.items()]))
 
@@ -133,7 +146,7 @@ def json_paths(
     output column that must not be NULL.
     """
     others = _carried(messages, column)
-    parsed = messages.select(*others, F.try_parse_json(F.col(column)).alias("_v"))
+    parsed = messages.select(*others, _once(F.try_parse_json(F.col(column)), "_v", F.lit(True)))
     found = parsed.select(
         *others, *[F.try_variant_get("_v", path, kind).alias(name) for name, (path, kind) in paths.items()]
     )

@@ -46,23 +46,14 @@ def generator(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
 
 
-def message_stream(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, startup: str = "earliest"
-) -> DataFrame:
+def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Text files that keep arriving in a folder, one message per line, with their arrival time.
 
-    ``startup="latest"`` leaves out files that are older than the start of the stream.
+    It starts with the files that are there; the writers' ``startup="latest"`` starts after them.
     """
-    reader = spark.readStream.schema("value STRING")
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if startup == "latest":
-        started = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("t"))
-        zone = spark.conf.get("spark.sql.session.timeZone")
-        now = started.first()["t"].isoformat(timespec="seconds")
-        reader = reader.option("modifiedAfter", now).option("timeZone", zone)
-    elif startup != "earliest":
-        raise ValueError("startup is 'earliest' or 'latest'")
     stream = reader.format("text").load(path)
     return stream.select("value", F.col("_metadata.file_modification_time").alias("record_time"))
 

@@ -8,17 +8,22 @@ Layout below the root::
 A batch writes only its own delta, so the cost of a batch follows the batch and not the table, and
 a repeated batch replaces its own folder. Readers take the newest marked base and the deltas after
 it. Deletes stay in both as rows, so that an older event that arrives late cannot bring a row back.
+
+Reading and folding leave the base where it is if they can: small deltas are broadcast, and with
+``buckets`` the base is bucketed by key, so that larger deltas are shuffled to it and not the other
+way round. Without buckets, larger deltas mean a shuffle of base and deltas by key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.apply import latest
+from tidelog.operators.apply import latest, merge_newest
 from tidelog.schema import DELETE
 from tidelog.sources import storage
 
@@ -29,8 +34,9 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 class MirrorTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], order: Sequence[str],
-        broadcast_bytes: int = BROADCAST_BYTES,
+        broadcast_bytes: int = BROADCAST_BYTES, buckets: int | None = None,
     ):
+        self.buckets = buckets
         self.spark, self.root, self.schema = spark, root, schema
         self.key, self.order = list(key), list(order)
         self.broadcast_bytes = broadcast_bytes
@@ -68,6 +74,21 @@ class MirrorTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
+    def _base_table(self, version: int) -> str:
+        return f"mirror_{md5(self._base(version).encode()).hexdigest()}"
+
+    def _read_base(self, version: int) -> DataFrame:
+        """The base with its bucketing, which Spark takes from the catalog; a new session adds the entry."""
+        if not self.buckets:
+            return self._read([self._base(version)])
+        name, keys = self._base_table(version), ", ".join(f"`{c}`" for c in self.key)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self._base(version)}'"
+        )
+        return self.spark.table(name)
+
     def newest(self, through: int | None = None) -> DataFrame:
         """The newest event of every key, deletes included, as of batch ``through``."""
         last = through if through is not None else max([-1, *self.batches(), *self.versions()])
@@ -77,13 +98,16 @@ class MirrorTable:
         deltas = self._read(paths)
         if not usable:
             return latest(deltas, self.key, self.order)
-        base = self._read([self._base(start)])
+        base = self._read_base(start)
         if not paths:
             return base
-        changed = sum(storage.size(self.spark, p) for p in paths)
-        if changed > self.broadcast_bytes:
-            return latest(base.unionByName(deltas), self.key, self.order)
-        return self._overlay(base, latest(deltas, self.key, self.order))
+        if sum(storage.size(self.spark, p) for p in paths) <= self.broadcast_bytes:
+            return self._overlay(base, latest(deltas, self.key, self.order))
+        if self.buckets:
+            # A delta holds a key at most once, so hashing deltas before the cut sends no hot key.
+            hashed = deltas.repartition(self.buckets, *self.key)
+            return merge_newest(base, hashed, self.key, self.order)
+        return latest(base.unionByName(deltas), self.key, self.order)
 
     def _overlay(self, base: DataFrame, small: DataFrame) -> DataFrame:
         """Small deltas over a large base that stays where it is: no shuffle of the base."""
@@ -111,16 +135,36 @@ class MirrorTable:
         last = through if through is not None else max([-1, *self.batches()])
         if last in self.versions():
             return last
-        self.newest(last).write.mode("overwrite").option("compression", "snappy").parquet(self._base(last))
+        folded = self.newest(last)
+        if self.buckets:
+            self._write_buckets(folded, last)
+        else:
+            folded.write.mode("overwrite").option("compression", "snappy").parquet(self._base(last))
         storage.touch(self.spark, f"{self._base(last)}/_FOLDED")
         return last
 
+    def _write_buckets(self, rows: DataFrame, version: int) -> None:
+        """One sorted file per bucket: rows are hashed the way the buckets are before the write."""
+        name = self._base_table(version)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        storage.delete(self.spark, self._base(version))
+        (
+            rows.repartition(self.buckets, *self.key)
+            .write.format("parquet")
+            .option("path", self._base(version))
+            .option("compression", "snappy")
+            .bucketBy(self.buckets, *self.key)
+            .sortBy(*self.key)
+            .saveAsTable(name)
+        )
+
     def vacuum(self, keep_from: int) -> None:
         """Removes bases and deltas that only states older than version ``keep_from`` need."""
         if keep_from not in self.versions():
             raise ValueError(f"no folded version {keep_from}")
         for version in self.versions():
             if version < keep_from:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._base_table(version)}")
                 storage.delete(self.spark, self._base(version))
         for batch in self.batches():
             if batch <= keep_from:

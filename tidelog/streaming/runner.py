@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidelog.sources import storage
+
 EachBatch = Callable[[DataFrame, int], None]
 
 
@@ -29,15 +32,36 @@ def triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> D
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def run(stream: DataFrame, each_batch: EachBatch, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def run(
+    stream: DataFrame, each_batch: EachBatch, checkpoint: str, every: str | None = None, startup: str = "earliest"
+) -> StreamingQuery:
     """Calls ``each_batch(rows, batch_id)`` for every micro-batch.
 
     A batch that failed is called again with the same id and the same rows, so ``each_batch`` must
     write to places that depend on the id only.
     """
+
+    def skip(rows: DataFrame, batch_id: int) -> None:
+        rows.write.format("noop").mode("overwrite").save()
+
+    position(stream, checkpoint, startup, lambda nothing: run(nothing, skip, checkpoint))
     return finish(triggered(stream.writeStream.foreachBatch(each_batch), checkpoint, every).start(), every)
 
 
+def position(
+    stream: DataFrame, checkpoint: str, startup: str, catch_up: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Startup position of a file stream. With "latest" the files that are there count as seen.
+
+    They are passed by with a filter that no row meets, so their contents are not read. Only the
+    first start skips: a later one finds the checkpoint and goes on where it stopped.
+    """
+    if startup not in ("earliest", "latest"):
+        raise ValueError("startup is 'earliest' or 'latest'")
+    if startup == "latest" and not storage.exists(stream.sparkSession, f"{checkpoint}/offsets"):
+        catch_up(stream.filter(F.lit(False)))
+
+
 def finish(query: StreamingQuery, every: str | None) -> StreamingQuery:
     if every is None:
         query.awaitTermination()

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog.operators.apply import latest
 from tidelog.schema import DELETE
 from tidelog.sources import storage
-from tidelog.streaming.runner import EachBatch, finish, triggered
+from tidelog.streaming.runner import EachBatch, finish, position, triggered
 
 # The two target file sizes in use.
 SMALL_TARGET_BYTES = 64 * 1024 * 1024
@@ -21,9 +21,10 @@ TARGET_BYTES = 128 * 1024 * 1024
 
 def append(
     stream: DataFrame, path: str, checkpoint: str, kind: str = "parquet", by: Sequence[str] = (),
-    every: str | None = None,
+    every: str | None = None, startup: str = "earliest",
 ) -> StreamingQuery:
     """Appends a stream to Parquet or JSON files, each row exactly once."""
+    position(stream, checkpoint, startup, lambda nothing: append(nothing, path, checkpoint, kind, by))
     writer = stream.writeStream.format(kind).outputMode("append").option("path", path)
     if by:
         writer = writer.partitionBy(*by)
