@@ -71,3 +71,9 @@ def test_bands_percent_and_rules(spark):
         ("High", 50.0, "BIG"), ("Medium", None, "VALID"), ("Low", 33.33, "VALID"), ("Low", 100.0, "MISSING"),
     ]
     assert rows.select(*r.or_default({"a": 0})).collect()[3]["a"] == 0
+
+
+def test_jitter_is_repeatable_and_spread(spark):
+    rows = spark.range(1000).repartition(5)
+    draw = lambda seed: {x["id"]: x["j"] for x in rows.select("id", r.jitter(["id"], 10, seed).alias("j")).collect()}
+    assert draw(1) == draw(1) != draw(2) and set(draw(1).values()) == set(range(10))

@@ -38,3 +38,11 @@ def first_broken(rules: Sequence[tuple[str, Column]], otherwise: str = "VALID")
 
 def or_default(defaults: Mapping[str, object]) -> list[Column]:
     return [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()]
+
+
+def jitter(key: Sequence[str], spread: int, seed: int = 0) -> Column:
+    """A whole number from 0 to ``spread`` - 1 for test changes.
+
+    It follows from the key and the seed, so a repeated task makes the same change.
+    """
+    return F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(spread))

@@ -25,10 +25,17 @@ LIVE_SQL = f"WITH {LOG_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STAT
 ALL_SQL = f"WITH {LOG_SQL} SELECT {STATE_SQL} FROM img"
 
 
-def land(messages: DataFrame, folder: str, batches: int = BATCHES) -> int:
-    """Writes messages as text files, as many as there are input splits but at least ``batches``."""
-    files = max(batches, messages.rdd.getNumPartitions())
-    messages.repartition(files, "value").write.text(folder)
+def split_up(df: DataFrame, least: int = BATCHES) -> tuple[DataFrame, int]:
+    """``df`` with at least ``least`` partitions, and their number. Only a small input is shuffled,
+    and then evenly, so that many copies of one row do not meet."""
+    parts = df.rdd.getNumPartitions()
+    return (df, parts) if parts >= least else (df.repartition(least), least)
+
+
+def land(messages: DataFrame, folder: str) -> int:
+    """Writes messages as text files, one for each input split but at least ``BATCHES``."""
+    spread, files = split_up(messages)
+    spread.write.text(folder)
     return files
 
 
@@ -121,8 +128,7 @@ def compact_files(spark, folder):
     """Many small files per partition value, rewritten to the target size."""
     root = scratch(spark, "compact")
     log = row_log(spark, folder)
-    files = max(BATCHES, log.rdd.getNumPartitions())
-    log.repartition(files, "lsn").write.partitionBy("operation").parquet(f"{root}/small")
+    split_up(log)[0].write.partitionBy("operation").parquet(f"{root}/small")
     return writers.compact_files(spark, f"{root}/small", f"{root}/large", ["operation"], ["user_id", "lsn"])
 
 

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.sources import storage
+
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
@@ -52,10 +54,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder; nothing is created yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tidelog/{app}/{purpose}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes everything this application materialized. Results that still read it end here."""
+    storage.delete(spark, scratch_root(spark))
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

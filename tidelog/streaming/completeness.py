@@ -55,8 +55,10 @@ def commit_partitions(
             dated.unpersist()
         seen = spark.read.parquet(progress).groupBy("event_date").agg(F.max("last_event").alias("last_event"))
         done = _status(seen, seen.select(F.max("last_event")).scalar(), disorder, delay).filter("complete")
+        marked = set(storage.folders(spark, f"{path}/_complete"))
         # One short row per complete date.
-        for row in done.select(F.col("event_date").cast("string").alias("d")).collect():
-            storage.touch(spark, f"{path}/_complete/event_date={row['d']}/{MARKER}")
+        for row in done.select(F.concat(F.lit("event_date="), "event_date").alias("name")).collect():
+            if row["name"] not in marked:
+                storage.touch(spark, f"{path}/_complete/{row['name']}/{MARKER}")
 
     return each_batch
