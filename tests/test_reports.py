@@ -38,7 +38,7 @@ def test_lag(spark):
 
 
 def test_replication_position_lag(spark):
-    slots = spark.createDataFrame([("flink_slot", 5000, 4990)], "slot STRING, restart LONG, confirmed LONG")
+    slots = spark.createDataFrame([("slot_a", 5000, 4990)], "slot STRING, restart LONG, confirmed LONG")
     row = observe.consumer_lag(slots, slots, "slot", "restart", "confirmed").first()
     assert (row["lag"], row["status"]) == (10, "PASS")
 

@@ -114,7 +114,7 @@ def test_history_fold_and_vacuum(spark, tmp_path, batch_log, buckets):
     assert [bag(mirror.current(n)) for n in range(6)] == wants
     assert mirror.fold(1) == 1 and mirror.fold(3) == 3 and mirror.fold(3) == 3
     assert [bag(mirror.current(n)) for n in range(6)] == wants
-    mirror.broadcast_bytes = -1
+    mirror.broadcast_rows = -1
     assert [bag(mirror.current(n)) for n in range(6)] == wants
     mirror.vacuum(3)
     assert mirror.batches() == [4, 5] and mirror.versions() == [3]
@@ -170,7 +170,7 @@ def test_small_deltas_leave_the_base_in_place(spark, tmp_path, batch_log, capsys
 
 def test_larger_deltas_are_shuffled_to_a_bucketed_base(spark, tmp_path, batch_log, capsys):
     parts = batch_log.randomSplit([5.0, 1.0, 1.0], seed=2)
-    mirror = table(spark, tmp_path, batch_log, broadcast_bytes=-1, buckets=3)
+    mirror = table(spark, tmp_path, batch_log, broadcast_rows=-1, buckets=3)
     for i, part in enumerate(parts):
         mirror.write_batch(part, i)
         if i < 2:
@@ -181,7 +181,7 @@ def test_larger_deltas_are_shuffled_to_a_bucketed_base(spark, tmp_path, batch_lo
     assert plan.count("Exchange hashpartitioning") == 1
     assert len([f for f in os.listdir(f"{tmp_path}/mirror/base/version=1") if f.endswith(".parquet")]) == 3
     spark.sql(f"DROP TABLE {mirror._base_table(1)}")
-    again = table(spark, tmp_path, batch_log, broadcast_bytes=-1, buckets=3)
+    again = table(spark, tmp_path, batch_log, broadcast_rows=-1, buckets=3)
     assert bag(again.current()) == bag(apply.mirror_current(batch_log, KEY, ORDER))
 
 

@@ -13,14 +13,11 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.session import materialize
+from tidelog.session import BROADCAST_ROWS, materialize
 
 # monotonically_increasing_id puts the partition number above these bits and the row position in them.
 _POSITION_BITS = 33
 
-# A lookup with at most this many narrow rows is broadcast; beyond it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
-
 # A value with more than this share of all rows is hot, so there can be at most 1 / share of them.
 HOT_SHARE = 1e-3
 

@@ -7,7 +7,8 @@ delete, anything else an update. The number ``k`` in ``props`` decides the old i
 * the new value of an update is NULL if k >= 90 (an update to NULL)
 * the new row time is missing if k < 30
 
-``LOG_SQL`` says the same for DuckDB. Both are plain projections, so the derivation adds no shuffle.
+``LOG_SQL`` says the same for DuckDB. Both are plain projections, so the derivation adds no shuffle,
+except that a table with fewer splits than cores is first spread over the cores.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.normalize import normalize
 from tidelog.schema import Feed
+from tidelog.session import widen
 from tidelog.sources.messages import parse_envelope, to_envelope
 from tidelog.sources.readers import table
 
@@ -35,7 +37,7 @@ def instant(column: str = "ts"):
 
 def change_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Typed change rows: lsn, k, before, after, op, ts_ms, source."""
-    events = table(spark, folder, "events")
+    events = widen(table(spark, folder, "events"), "event_id")
     micros = F.unix_micros(instant())
     k = F.get_json_object("props", "$.k").cast("long")
     kind = F.col("event_type")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelog.functions.changes import connector_decimal, from_millis, key_valid, micro_time, unixtime_text
+from tidelog.functions.changes import (
+    connector_decimal, from_millis, key_valid, merged, micro_time, record_id, unixtime_text,
+)
 from tidelog.operators.normalize import normalize, quarantined, row_kinds, signed_count
 from tidelog.plans import changes as ch
 from tidelog.plans.changes import FEED, LOG_SQL, log_position
 from tidelog.plans.registry import query
 from tidelog.schema import LABELS_SQL, OPS
+from tidelog.session import widen
 from tidelog.sources.messages import json_paths, parse_envelope, parse_flat, parse_prefixed, parse_wrapped, raw
 from tidelog.sources.readers import table
 
@@ -116,8 +119,6 @@ SELECT lsn, CAST(user_id AS VARCHAR) || '_' || event_type AS plain_id,
 FROM col
 """)
 def cdc_record_id(spark, folder):
-    from tidelog.functions.changes import merged, record_id
-
     parts = [merged("user_id"), merged("event_type")]
     return ch.parsed(spark, folder).select(
         F.col("source.lsn").alias("lsn"),
@@ -158,7 +159,7 @@ def cdc_decimal_decode(spark, folder):
     wide = F.lpad(F.hex(cents("l_extendedprice")), 16, "0")
     negated = -cents("l_discount")
     narrow = F.right(F.lpad(F.hex(negated), 16, "0"), F.lit(8))
-    lines = table(spark, folder, "lineitem").select(
+    lines = widen(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select(
         "l_orderkey",
         "l_linenumber",
         F.base64(F.unhex(wide)).alias("price64"),

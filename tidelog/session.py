@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.sources import storage
 
+# At most this many narrow rows (keys and numbers) are broadcast; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
@@ -68,6 +71,16 @@ def clear_scratch(spark: SparkSession) -> None:
     storage.delete(spark, scratch_root(spark))
 
 
+def widen(df: DataFrame, *by: str) -> DataFrame:
+    """Hashes a scan that has fewer splits than the session has cores over the cores.
+
+    For costly work per row on small tables of one or two files. A scan of a large table has more
+    splits than that and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

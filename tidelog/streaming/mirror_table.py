@@ -9,7 +9,8 @@ A batch writes only its own delta, so the cost of a batch follows the batch and
 a repeated batch replaces its own folder. Readers take the newest marked base and the deltas after
 it. Deletes stay in both as rows, so that an older event that arrives late cannot bring a row back.
 
-Reading and folding leave the base where it is if they can: small deltas are broadcast, and with
+Reading and folding leave the base where it is if they can: of few changes, which the file footers
+count, the keys are broadcast, and with
 ``buckets`` the base is bucketed by key, so that larger deltas are shuffled to it and not the other
 way round. Without buckets, larger deltas mean a shuffle of base and deltas by key.
 """
@@ -25,21 +26,19 @@ from pyspark.sql import types as T
 
 from tidelog.operators.apply import latest, merge_newest
 from tidelog.schema import DELETE
+from tidelog.session import BROADCAST_ROWS
 from tidelog.sources import storage
 
-# Deltas with at most this many bytes on disk are broadcast against the base.
-BROADCAST_BYTES = 16 * 1024 * 1024
-
 
 class MirrorTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], order: Sequence[str],
-        broadcast_bytes: int = BROADCAST_BYTES, buckets: int | None = None,
+        broadcast_rows: int = BROADCAST_ROWS, buckets: int | None = None,
     ):
         self.buckets = buckets
         self.spark, self.root, self.schema = spark, root, schema
         self.key, self.order = list(key), list(order)
-        self.broadcast_bytes = broadcast_bytes
+        self.broadcast_rows = broadcast_rows
 
     def _delta(self, batch_id: int) -> str:
         return f"{self.root}/deltas/batch_id={batch_id}"
@@ -101,7 +100,7 @@ class MirrorTable:
         base = self._read_base(start)
         if not paths:
             return base
-        if sum(storage.size(self.spark, p) for p in paths) <= self.broadcast_bytes:
+        if deltas.count() <= self.broadcast_rows:
             return self._overlay(base, latest(deltas, self.key, self.order))
         if self.buckets:
             # A delta holds a key at most once, so hashing deltas before the cut sends no hot key.
@@ -110,19 +109,29 @@ class MirrorTable:
         return latest(base.unionByName(deltas), self.key, self.order)
 
     def _overlay(self, base: DataFrame, small: DataFrame) -> DataFrame:
-        """Small deltas over a large base that stays where it is: no shuffle of the base."""
-        names = self.schema.names
-        new = F.broadcast(small.select(*self.key, F.struct(*names).alias("_new")))
+        """Few changes over a large base that stays where it is: no shuffle of the base.
+
+        Only key and order of the changes are broadcast. They decide which base rows stay, and a
+        second, narrow look at the base decides which changes are newer than what it holds.
+        """
+        names, key = self.schema.names, self.key
 
-        def rank(of) -> Column:
-            return F.struct(*[of(c) for c in self.order])
+        def rank(name: str) -> Column:
+            return F.struct(*self.order).alias(name)
 
-        beaten = F.coalesce(rank(lambda c: F.col("_new")[c]) >= rank(F.col), F.lit(False))
-        kept = base.join(new, self.key, "left").select(
-            *[F.when(F.col("_new").isNotNull() & beaten, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in names]
+        marks = F.broadcast(small.select(*key, rank("_new")))
+        kept = (
+            base.select(*names, rank("_old"))
+            .join(marks, key, "left")
+            .filter(F.col("_new").isNull() | (F.col("_old") > F.col("_new")))
+        )
+        held = base.select(*key, rank("_old")).join(F.broadcast(small.select(*key)), key, "left_semi")
+        fresh = (
+            small.select(*names, rank("_new"))
+            .join(held, key, "left")
+            .filter(F.col("_old").isNull() | (F.col("_new") >= F.col("_old")))
         )
-        known = base.select(*self.key).join(F.broadcast(small.select(*self.key)), self.key, "left_semi")
-        return kept.unionByName(small.join(known, self.key, "left_anti").select(*names))
+        return kept.select(*names).unionByName(fresh.select(*names))
 
     def current(self, through: int | None = None) -> DataFrame:
         return self.newest(through).filter(~F.coalesce(F.col("op") == DELETE, F.lit(False)))
