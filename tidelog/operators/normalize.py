@@ -7,12 +7,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.changes import from_millis, key_valid, merged, op_label, op_or, record_id, row_image
+from tidelog.functions.changes import (
+    connector_decimal, from_millis, key_valid, merged, op_label, op_or, record_id, row_image,
+)
 from tidelog.schema import CORRUPT, CREATE, DELETE, LABELS, OPS, READ, UPDATE, Feed
 
 IMAGES = {"column": merged, "row": row_image}
 
 
+def _decoded(value: Column, column: str, feed: Feed) -> Column:
+    if column not in feed.decimals:
+        return value
+    precision, scale = feed.decimals[column]
+    return connector_decimal(value, scale, precision)
+
+
 def normalize(
     changes: DataFrame,
     feed: Feed,
@@ -35,7 +44,7 @@ def normalize(
     pick = IMAGES[image]
     code = F.col("op") if null_op_as is None else op_or(F.col("op"), null_op_as)
     rows = changes.filter(code.isin(*ops))
-    columns = [pick(c).alias(feed.target(c)) for c in feed.row.names]
+    columns = [_decoded(pick(c), c, feed).alias(feed.target(c)) for c in feed.row.names]
     out = [code.alias("op"), op_label(code, labels).alias("operation")]
     if record_id_from:
         out.append(record_id([pick(c) for c in record_id_from], null_part).alias("record_id"))
@@ -78,9 +87,8 @@ def row_kinds(changes: DataFrame, feed: Feed, carry: Sequence[str] = ()) -> Data
     )
     kept = F.filter(both, lambda k: k["row_kind"].isNotNull() & k["image"].isNotNull())
     rows = changes.select(*carry, F.explode(kept).alias("_k"))
-    return rows.select(
-        *carry, "_k.row_kind", *[F.col("_k.image")[c].alias(feed.target(c)) for c in feed.row.names]
-    )
+    columns = [_decoded(F.col("_k.image")[c], c, feed).alias(feed.target(c)) for c in feed.row.names]
+    return rows.select(*carry, "_k.row_kind", *columns)
 
 
 def signed_count(kinds: DataFrame, by: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:

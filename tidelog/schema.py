@@ -49,27 +49,38 @@ CORRUPT = "corrupt"
 class Feed:
     """One captured table: its row image, its key, and how columns are renamed on the way.
 
-    ``row`` uses the names found in the messages; ``key`` too. ``rename`` maps message names to
-    table names and must only mention columns of ``row``.
+    ``row`` uses the names found in the messages; so do the others. ``rename`` maps message names to
+    table names. ``decimals`` gives (precision, scale) of text columns in which the connector sends
+    encoded decimals.
     """
 
     row: T.StructType
     key: tuple[str, ...] = ()
     rename: Mapping[str, str] = field(default_factory=dict)
+    decimals: Mapping[str, tuple[int, int]] = field(default_factory=dict)
 
     def __post_init__(self):
         names = set(self.row.names)
-        for label, used in (("rename", self.rename), ("key", self.key)):
+        for label, used in (("rename", self.rename), ("key", self.key), ("decimals", self.decimals)):
             absent = [c for c in used if c not in names]
             if absent:
                 raise ValueError(f"{label} names columns that the row does not have: {absent}")
+        numbers = [c for c in self.decimals if not isinstance(self.row[c].dataType, T.StringType)]
+        if numbers:
+            raise ValueError(f"decimals are text in the messages, but these are not: {numbers}")
         target = [self.target(c) for c in self.row.names]
         if len(set(target)) != len(target):
             raise ValueError(f"two columns end up with the same name: {target}")
 
     @classmethod
-    def of(cls, columns: Mapping[str, str], key: tuple[str, ...] = (), rename: Mapping[str, str] | None = None):
-        return cls(struct(columns), tuple(key), dict(rename or {}))
+    def of(
+        cls,
+        columns: Mapping[str, str],
+        key: tuple[str, ...] = (),
+        rename: Mapping[str, str] | None = None,
+        decimals: Mapping[str, tuple[int, int]] | None = None,
+    ):
+        return cls(struct(columns), tuple(key), dict(rename or {}), dict(decimals or {}))
 
     def target(self, column: str) -> str:
         return self.rename.get(column, column)
@@ -123,21 +134,28 @@ class Feed:
 
 
 # The city demographics table, twelve columns.
+DEMOGRAPHICS_COLUMNS = {
+    "city": "string",
+    "state": "string",
+    "median_age": "double",
+    "male_population": "long",
+    "female_population": "long",
+    "total_population": "long",
+    "number_of_veterans": "long",
+    "foreign_born": "long",
+    "average_household_size": "double",
+    "state_code": "string",
+    "race": "string",
+    "count": "long",
+}
 DEMOGRAPHICS = Feed.of(
-    {
-        "city": "string",
-        "state": "string",
-        "median_age": "double",
-        "male_population": "long",
-        "female_population": "long",
-        "total_population": "long",
-        "number_of_veterans": "long",
-        "foreign_born": "long",
-        "average_household_size": "double",
-        "state_code": "string",
-        "race": "string",
-        "count": "long",
-    },
+    DEMOGRAPHICS_COLUMNS, key=("city", "state", "race"), rename={"count": "population_count"}
+)
+
+# The same table from a connector that sends its two decimals encoded.
+DEMOGRAPHICS_ENCODED = Feed.of(
+    {**DEMOGRAPHICS_COLUMNS, "median_age": "string", "average_household_size": "string"},
     key=("city", "state", "race"),
     rename={"count": "population_count"},
+    decimals={"median_age": (5, 2), "average_household_size": (3, 2)},
 )
