@@ -109,6 +109,14 @@ def test_compaction_makes_few_files_of_the_target_size(spark, tmp_path):
     assert 4 <= files(f"{tmp_path}/split") <= 10
 
 
+def test_compaction_keeps_partition_names(spark, tmp_path):
+    rows = spark.createDataFrame([("001", 1), ("1", 2), ("2024-01-01", 3), (None, 4)], "part STRING, id LONG")
+    rows.write.partitionBy("part").parquet(f"{tmp_path}/small")
+    few = writers.compact_files(spark, f"{tmp_path}/small", f"{tmp_path}/large", ["part"], schema=rows.select("id", "part").schema)
+    assert storage.folders(spark, f"{tmp_path}/large") == storage.folders(spark, f"{tmp_path}/small")
+    assert {(r["part"], r["id"]) for r in few.collect()} == {(r["part"], r["id"]) for r in rows.collect()}
+
+
 def test_keyed_messages(spark):
     log = spark.createDataFrame([(1, "u", 5), (1, "d", 5), (2, "c", None)], "id LONG, op STRING, x LONG")
     got = [tuple(r) for r in writers.keyed_messages(log, ["id"], ["id", "x"]).collect()]
@@ -141,6 +149,19 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         session.shared_dir(Session())
 
 
+def test_shuffles_start_with_more_partitions_for_large_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.fit(spark, 10) == int(before) and spark.conf.get(name, None) is None
+        assert session.fit(spark, 100 * session.PARTITION_BYTES) == 100 == int(spark.conf.get(name))
+        assert session.fit(spark, 10) == 100
+        assert session.fit(spark, 10**14) == session.MOST_PARTITIONS
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    finally:
+        spark.conf.unset(name)
+
+
 def test_struct_types():
     assert struct({"a": "decimal(5,2)", "b": "long"}) == T.StructType(
         [T.StructField("a", T.DecimalType(5, 2)), T.StructField("b", T.LongType())]

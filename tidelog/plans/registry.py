@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.session import pin
+from tidelog.session import fit, pin
+from tidelog.sources import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_BYTES: dict[str, int] = {}
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the tables, listed once."""
+    if folder not in _BYTES:
+        _BYTES[folder] = storage.size(spark, folder)
+    return _BYTES[folder]
+
+
 def zoneless(df: DataFrame) -> DataFrame:
     """Instants as UTC wall-clock timestamps, the form in which the driver tables hold time."""
     return df.select(
@@ -35,7 +46,9 @@ def query(sql: str | None = None, name: str | None = None):
 
         @wraps(fn)
         def prepared(spark: SparkSession, folder: str) -> DataFrame:
-            return zoneless(fn(pin(spark), folder.rstrip("/")))
+            at = folder.rstrip("/")
+            fit(pin(spark), folder_bytes(spark, at))
+            return zoneless(fn(spark, at))
 
         QUERIES[label] = prepared
         if sql is not None:

@@ -14,6 +14,7 @@ from tidelog.plans.application import KEY, NEWEST, ORDER, STATE_SQL, row_log
 from tidelog.plans.changes import FEED, LOG_SQL, log_position
 from tidelog.plans.registry import query
 from tidelog.session import scratch
+from tidelog.sources import storage
 from tidelog.sources.messages import parse_envelope
 from tidelog.sources.readers import message_stream
 from tidelog.streaming import completeness, runner, writers
@@ -25,18 +26,10 @@ LIVE_SQL = f"WITH {LOG_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STAT
 ALL_SQL = f"WITH {LOG_SQL} SELECT {STATE_SQL} FROM img"
 
 
-def split_up(df: DataFrame, least: int = BATCHES) -> tuple[DataFrame, int]:
-    """``df`` with at least ``least`` partitions, and their number. Only a small input is shuffled,
-    and then evenly, so that many copies of one row do not meet."""
-    parts = df.rdd.getNumPartitions()
-    return (df, parts) if parts >= least else (df.repartition(least), least)
-
-
 def land(messages: DataFrame, folder: str) -> int:
-    """Writes messages as text files, one for each input split but at least ``BATCHES``."""
-    spread, files = split_up(messages)
-    spread.write.text(folder)
-    return files
+    """Writes messages as text files, one for each partition they come in, and returns their number."""
+    messages.write.text(folder)
+    return storage.file_count(messages.sparkSession, folder)
 
 
 def streamed_log(messages: DataFrame) -> DataFrame:
@@ -128,7 +121,7 @@ def compact_files(spark, folder):
     """Many small files per partition value, rewritten to the target size."""
     root = scratch(spark, "compact")
     log = row_log(spark, folder)
-    split_up(log)[0].write.partitionBy("operation").parquet(f"{root}/small")
+    log.write.partitionBy("operation").parquet(f"{root}/small")
     return writers.compact_files(spark, f"{root}/small", f"{root}/large", ["operation"], ["user_id", "lsn"])
 
 

@@ -29,6 +29,13 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Data files directly in ``path``."""
+    fs, p = _at(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+    return sum(not n.startswith(("_", ".")) for n in names)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below ``path``."""
     fs, p = _at(spark, path)

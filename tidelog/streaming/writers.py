@@ -7,6 +7,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.apply import latest
@@ -88,20 +89,25 @@ def fan_out(targets: Mapping[str, tuple[str, object]]) -> EachBatch:
 
 def compact_files(
     spark: SparkSession, source: str, target: str, by: Sequence[str] = (), order: Sequence[str] = (),
-    target_bytes: int = TARGET_BYTES,
+    target_bytes: int = TARGET_BYTES, schema: T.StructType | None = None,
 ) -> DataFrame:
     """Rewrites a folder of many small files as few of about ``target_bytes`` in a new folder.
 
     Rows are split by range over the partition columns and then ``order``, so a partition value of
-    any size spreads over as many files as it needs. The source stays as it is.
+    any size spreads over as many files as it needs. Partition values are copied as text, so that one
+    like ``001`` keeps its folder name. The source stays as it is.
     """
-    df = spark.read.parquet(source)
+    schema = schema or spark.read.parquet(source).schema
+    as_text = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in by else f.dataType) for f in schema.fields]
+    )
+    df = spark.read.schema(as_text).parquet(source)
     files = max(1, ceil(storage.size(spark, source) / target_bytes))
     columns = [*by, *(order or [c for c in df.columns if c not in by])]
     ranged = df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
     writer = ranged.write.option("compression", "snappy")
     (writer.partitionBy(*by) if by else writer).parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    return spark.read.schema(schema).parquet(target)
 
 
 def keyed_messages(log: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
