@@ -240,13 +240,14 @@ def test_record_time_comes_from_the_file(spark, tmp_path, texts):
 
 def test_partitions_are_marked_once_complete(spark, tmp_path, texts, batch_log):
     ordered = sorted(texts, key=lambda t: json.loads(t)["ts_ms"])
-    half = len(ordered) // 2
-    feed(f"{tmp_path}/in", [ordered[:half], ordered[half:]])
+    step = len(ordered) // 4 + 1
+    feed(f"{tmp_path}/in", [ordered[i : i + step] for i in range(0, len(ordered), step)])
     stream = streamed_log(message_stream(spark, f"{tmp_path}/in", 1))
     marks = []
     commit = completeness.commit_partitions(f"{tmp_path}/t", f"{tmp_path}/progress")
 
     def each(rows, batch_id):
+        commit(rows, batch_id)
         commit(rows, batch_id)
         marks.append(storage.folders(spark, f"{tmp_path}/t/_complete"))
 
@@ -255,6 +256,9 @@ def test_partitions_are_marked_once_complete(spark, tmp_path, texts, batch_log):
     assert marks[-1] == sorted(f"event_date={d}" for d, done in status.items() if done)
     assert 0 < len(marks[0]) < len(marks[-1]) < len(status) + 1 and not all(status.values())
     assert spark.read.parquet(f"{tmp_path}/t").count() == len(texts)
+    assert storage.folders(spark, f"{tmp_path}/progress") == ["batch_id=2", "batch_id=3"]
+    kept = spark.read.parquet(f"{tmp_path}/progress/batch_id=3").agg(F.sum("rows"), F.count("*")).first()
+    assert tuple(kept) == (len(texts), len(status))
 
 
 def test_json_and_memory_sinks(spark, tmp_path, texts, batch_log):

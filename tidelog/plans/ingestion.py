@@ -28,10 +28,9 @@ FROM chg
 
 
 def _images(rows):
-    side = {"before": "before", "after": "after"}
     parts = [
         F.col(f"{s}.{c}").alias(f"{s}_{short}")
-        for s in side
+        for s in ("before", "after")
         for c, short in (("user_id", "user"), ("event_type", "type"), ("value", "value"))
     ]
     return rows.select(F.col("source.lsn").alias("lsn"), "op", "ts_ms", *parts)

@@ -38,22 +38,33 @@ def commit_partitions(
 ) -> EachBatch:
     """Writes batches into ``path/event_date=…`` and marks the partitions that became complete.
 
-    Each batch leaves a small summary in ``progress``, one row per date, and the marks follow from
-    the summaries alone.
+    Each batch leaves a summary in ``progress``, one row per date seen so far, made from the summary
+    of the batch before and its own rows. Only these two are kept, so a batch costs the same however
+    long the stream has run, and a repeated batch finds what it found the first time.
     """
 
     def each_batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        summary = lambda n: f"{progress}/batch_id={n}"
+        earlier = [int(f.split("=")[1]) for f in storage.folders(spark, progress)]
+        earlier = sorted(n for n in earlier if n < batch_id)
         dated = rows.withColumn("event_date", F.to_date(time)).persist()
         try:
             dated.hint("rebalance", F.col("event_date")).write.mode("overwrite").partitionBy("event_date").parquet(
                 f"{path}/batch_id={batch_id}"
             )
             days = dated.groupBy("event_date").agg(F.max(time).alias("last_event"), F.count("*").alias("rows"))
-            days.write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
+            if earlier:
+                days = days.unionByName(spark.read.schema(days.schema).parquet(summary(earlier[-1])))
+                days = days.groupBy("event_date").agg(
+                    F.max("last_event").alias("last_event"), F.sum("rows").alias("rows")
+                )
+            days.write.mode("overwrite").parquet(summary(batch_id))
         finally:
             dated.unpersist()
-        seen = spark.read.parquet(progress).groupBy("event_date").agg(F.max("last_event").alias("last_event"))
+        for old in earlier[:-1]:
+            storage.delete(spark, summary(old))
+        seen = spark.read.parquet(summary(batch_id))
         done = _status(seen, seen.select(F.max("last_event")).scalar(), disorder, delay).filter("complete")
         marked = set(storage.folders(spark, f"{path}/_complete"))
         # One short row per complete date.
