@@ -7,7 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from tidelog.plans import ORACLES as SQL
+from tidelog.plans import QUERIES
+
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -28,6 +30,8 @@ def test_gives_rows(spark, name):
 
 def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
