@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,10 @@ from tidelog.llm.components import components
 from tidelog.llm.words import blocks, lists, mix, signed, spans, unsigned, words_of
 from tidelog.session import materialize
 
-# N-grams of one chunk of a block, and set digests that a task remembers.
+# N-grams of one chunk of a block, set digests that a task remembers, and text for one bucket of part keys.
 CHUNK_GRAMS = 600_000
 SEEN_SETS = 200_000
+BUCKET_BYTES = 16 << 20
 
 # Parts beyond those that differences can reach.
 SLACK = 2
@@ -106,25 +108,79 @@ def _digest(grams: np.ndarray) -> int:
     return int(signed(mix(total))[0])
 
 
-def _describe(batches, size: int, percent: int):
-    """Size, node and part keys of each document. A node's keys are given once in a task."""
+def _meet(keys: np.ndarray, nodes: np.ndarray):
+    """The smallest node of each key, and links to it from the key's other nodes."""
+    order = np.argsort(keys, kind="stable")
+    keys, nodes = keys[order], nodes[order]
+    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    least = np.minimum.reduceat(nodes, begin) if len(begin) else nodes
+    to = np.repeat(least, np.diff(np.append(begin, len(keys))))
+    apart = nodes != to
+    links = np.unique(np.stack([nodes[apart], to[apart]]), axis=1)
+    return keys[begin], least, links
+
+
+def _rows(bucket, id=None, n=None, node=None, other=None, pairs=None) -> pa.RecordBatch:
+    size = len(bucket)
+    columns = [(id, pa.int64()), (n, pa.int64()), (node, pa.int64()), (other, pa.int64()), (pairs, pa.binary())]
+    made = [pa.nulls(size, kind) if values is None else pa.array(values, kind) for values, kind in columns]
+    return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", "id", "n", "node", "other", "pairs"])
+
+
+def _describe(batches, size: int, percent: int, buckets: int):
+    """Size and node of each document, and the part keys of the nodes, packed by bucket of the key.
+
+    A task gives the keys of a node once, and of the nodes that share a key in a batch only the smallest: the others
+    are linked to it here. So a key of many documents is forwarded once for a batch.
+    """
     seen: set[int] = set()
     limits = _bounds(percent)
     for batch in batches:
-        n, node, keys = [], [], []
+        n, node, keys, owner = [], [], [], []
         for grams in _sets(batch.column(1), size):
             n.append(len(grams))
             node.append(_digest(grams) if len(grams) else None)
             if len(grams) and node[-1] not in seen:
-                keys.append(signed(signatures(grams, percent, limits)))
+                found = signatures(grams, percent, limits)
+                keys.append(found)
+                owner.append(np.full(len(found), node[-1], np.int64))
                 seen.add(node[-1])
                 if len(seen) > SEEN_SETS:
                     seen.clear()
-            else:
-                keys.append(np.zeros(0, np.int64))
-        yield pa.record_batch(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), lists(keys)], ["id", "n", "node", "keys"]
-        )
+        spread = np.array([(x or 0) % buckets for x in node], np.int32)
+        yield _rows(spread, batch.column(0), n, node)
+        if not keys:
+            continue
+        key, least, links = _meet(np.concatenate(keys), np.concatenate(owner))
+        yield _rows(links[0] % buckets, node=links[0], other=links[1])
+        bucket = (key % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        pairs = np.stack([key[order], least[order].view(np.uint64)], axis=1)
+        names, begin = np.unique(bucket[order], return_index=True)
+        yield _rows(names, pairs=[part.tobytes() for part in np.split(pairs, begin[1:])])
+
+
+def _link(batches):
+    """Links of the nodes that share a key, one bucket after the other; other rows pass."""
+
+    def flush():
+        pairs = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2)
+        _, _, links = _meet(pairs[:, 0], pairs[:, 1].view(np.int64))
+        return _rows(np.zeros(links.shape[1], np.int32), node=links[0], other=links[1]).drop_columns(["bucket", "pairs"])
+
+    held, now = [], None
+    for batch in batches:
+        packed = batch.column("pairs").is_valid()
+        yield batch.filter(pc.invert(packed)).drop_columns(["bucket", "pairs"])
+        packs = batch.filter(packed)
+        for bucket, pairs in zip(packs.column("bucket").to_pylist(), packs.column("pairs")):
+            if bucket != now and held:
+                yield flush()
+                held = []
+            now = bucket
+            held.append(pairs.as_py())
+    if held:
+        yield flush()
 
 
 def _members(batches, size: int):
@@ -339,13 +395,14 @@ def jaccard_components(
     id that is not null, or null if there is none. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    described = materialize(
-        rows.mapInArrow(partial(_describe, size=size, percent=percent), "id long, n long, node long, keys array<long>"), "sets"
-    )
-    keys = described.where(F.size("keys") > 0).select("node", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    edges = keys.join(shared.select("key", "least"), "key").select("node", "least").where("node <> least")
-    block = materialize(components(edges, "node", "least"), "candidates").select("node", F.col("root").alias("block"))
+    buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    describe = partial(_describe, size=size, percent=percent, buckets=buckets)
+    packed = rows.mapInArrow(describe, "bucket int, id long, n long, node long, other long, pairs binary")
+    met = packed.repartition("bucket").sortWithinPartitions("bucket")
+    found = materialize(met.mapInArrow(_link, "id long, n long, node long, other long"), "sets")
+    described = found.where("other is null").drop("other")
+    links = components(found.where("other is not null"), "node", "other")
+    block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
     # One text for each node of a block; the sets are made again from it, as few rows need them.
     stands = described.join(block, "node").groupBy("node", "block").agg(F.min("id").alias("id"))
     texts = rows.join(stands, "id").select("node", "block", "text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import jaccard_join
+from tidelog.llm import jaccard_join, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +27,9 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Component of each document under links of Jaccard similarity 0.9 or more between sets of word 3-grams."""
     found = jaccard_join.jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of each piece of each document in sequences of at most 1024 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"), limit=1024, tokenizer="byte_bpe_50k")
