@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import jaccard_join, packing
+from tidelog.llm import decontaminate, jaccard_join, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,15 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of each piece of each document in sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), limit=1024, tokenizer="byte_bpe_50k")
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of documents that occur before, in an earlier document or earlier in the same one."""
+    return substring_dedup.find_passages(table(spark, folder, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, as they are or with other numbers, names and units."""
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
