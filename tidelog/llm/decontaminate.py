@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.words import BLOCK_BYTES, blocks, mix, signed, unsigned, words_of, word_keys
+from tidelog.llm.words import BLOCK_BYTES, blocks, mix, signed, small_letters, word_keys, words_of
 from tidelog.session import materialize
 
 WINDOW = 8
@@ -52,13 +52,6 @@ def _keys_of(words: list[str]) -> np.ndarray:
 _UNIT_KEYS = np.sort(_keys_of(UNITS))
 
 
-def _is_capital(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether a capital of ASCII or of the Latin-1 letters begins at a byte."""
-    one = raw[at]
-    two = raw[np.minimum(at + 1, len(raw) - 1)]
-    return ((one >= 65) & (one <= 90)) | ((one == 0xC3) & (two >= 0x80) & (two <= 0x9E))
-
-
 def template(offsets: np.ndarray, raw: np.ndarray):
     """Words of a block as template keys and kinds, with the bounds of their cores; words of punctuation are left out."""
     words = words_of(offsets, raw, keys=False)
@@ -74,15 +67,20 @@ def template(offsets: np.ndarray, raw: np.ndarray):
     real = start < words.end
     start, end, doc = start[real], end[real], words.doc[real]
     first = np.searchsorted(doc, np.arange(len(offsets)))
-    key = word_keys(words.data, start, end)
+    data = small_letters(raw)
+    key = word_keys(data, start, end)
+    changed = data != raw
+    wide = raw >= 0xC2
+    capital = changed[start] | wide[start] & changed[np.minimum(start + 1, size - 1)]
     digit = (raw[start] >= 48) & (raw[start] <= 57)
     # What ends a sentence before a word: a mark right after the word before, a new line, or nothing before it.
     marks = np.cumsum(np.concatenate([[0], np.isin(raw, np.frombuffer(b".!?:\n", np.uint8))]))
     opens = np.ones(len(start), bool)
     opens[1:] = (doc[1:] != doc[:-1]) | (marks[start[1:]] > marks[end[:-1]])
-    small = np.minimum(start + 1 + (raw[start] >= 128), size - 1)
-    lowered = (end - start > 1) & ((raw[small] >= 97) & (raw[small] <= 122) | (raw[small] >= 128))
-    kind = np.where(digit, NUMBER, np.where(_is_capital(raw, start) & lowered & ~opens, NAME, _LITERAL))
+    # Words of capitals are no names: the second letter of a name is a small one.
+    second = np.minimum(start + 1 + wide[start], size - 1)
+    lowered = (end > second) & ~changed[second] & ~(wide[second] & changed[np.minimum(second + 1, size - 1)])
+    kind = np.where(digit, NUMBER, np.where(capital & lowered & ~opens, NAME, _LITERAL))
     after = np.zeros(len(start), bool)
     after[1:] = digit[:-1] & (doc[1:] == doc[:-1])
     found = np.searchsorted(_UNIT_KEYS, key)

@@ -34,6 +34,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 _MASK = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
+def _two_byte_lower() -> np.ndarray:
+    """Small letters of the characters that UTF-8 writes in two bytes, where those are two bytes as well."""
+    table = np.arange(0x800, dtype=np.int32)
+    for point in range(0x80, 0x800):
+        small = chr(point).lower()
+        if len(small) == 1 and 0x80 <= ord(small) < 0x800:
+            table[point] = ord(small)
+    return table
+
+
+_TWO = _two_byte_lower()
+
+
+def small_letters(raw: np.ndarray) -> np.ndarray:
+    """The bytes of a text in small letters, in place: ASCII and letters of two bytes (Latin, Greek, Cyrillic, ...)."""
+    data = _LOWER[raw]
+    lead = np.flatnonzero((raw >= 0xC2) & (raw <= 0xDF))
+    lead = lead[lead + 1 < len(raw)]
+    point = _TWO[((raw[lead].astype(np.int32) & 31) << 6) | (raw[lead + 1] & 63)]
+    data[lead], data[lead + 1] = 0xC0 | (point >> 6), 0x80 | (point & 63)
+    return data
+
+
 @dataclass
 class Words:
     """The words of a block: ``first[d]`` to ``first[d + 1]`` are those of its document ``d``."""
