@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, jaccard_join, packing, substring_dedup
+from tidelog.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,14 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold benchmark items, as they are or with other numbers, names and units."""
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    out = F.coalesce(language_id.held_out("doc_id"), F.lit(False))
+    model = language_id.train(docs.where(~out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    out = F.coalesce(language_id.held_out("row.doc_id"), F.lit(False))
+    return found.select("row.doc_id", out.alias("held_out"), "lang_pred", "score", "spans")

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.words import blocks, mix, words_of
 from tidelog.session import materialize
@@ -178,6 +179,9 @@ def _runs(repeats, start, words, doc, min_words):
     return found
 
 
+_SPANS = "array<struct<start_word: long, n_words: long, seen_in: long>>"
+
+
 def _repeats(rows: DataFrame) -> DataFrame:
     """Chunks of each document that occur at an earlier place, in a list for each document."""
     buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
@@ -204,8 +208,7 @@ def find_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     rows = _keyed(docs, id_col, text_col)
     listed = _repeats(rows).withColumnRenamed("doc", "key")
     joined = rows.join(listed, "key").select(F.col("key").alias("row"), "text", "repeats")
-    spans = "array<struct<start_word: long, n_words: long, seen_in: long>>"
-    found = joined.mapInArrow(partial(_passages, min_words=min_words), f"row long, passages {spans}, text string")
+    found = joined.mapInArrow(partial(_passages, min_words=min_words), f"row long, passages {_SPANS}, text string")
     item = found.select("row", F.explode("passages").alias("p")).select("row", "p.*")
     null = F.lit(None).cast("long")
     clear = [F.when(F.col(c) != -(1 << 63), F.col(c)).otherwise(null).alias(n) for c, n in (("row", "doc_id"), ("seen_in", "seen_in"))]
@@ -213,11 +216,14 @@ def find_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
 
 
 def cut_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id and the text without its repeated passages for every row (null texts come back empty)."""
-    rows = _keyed(docs, id_col, text_col)
+    """``row, text, n_passages``: every row as a struct of its columns, and its text without the repeated passages.
+
+    What repeats is told as in ``find_passages``. Null texts come back empty.
+    """
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
+    rows = docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
     listed = _repeats(rows).withColumnRenamed("doc", "key")
-    joined = rows.join(listed, "key", "left").select(F.col("key").alias("row"), "text", "repeats")
-    spans = "array<struct<start_word: long, n_words: long, seen_in: long>>"
-    found = joined.mapInArrow(partial(_passages, min_words=min_words), f"row long, passages {spans}, text string")
-    key = F.when(F.col("row") != -(1 << 63), F.col("row")).otherwise(F.lit(None).cast("long"))
-    return found.select(key.alias("doc_id"), "text", F.size("passages").alias("n_passages"))
+    joined = rows.join(listed, "key", "left").select("row", "text", "repeats")
+    schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(f"passages {_SPANS}, text string")])
+    found = joined.mapInArrow(partial(_passages, min_words=min_words), schema)
+    return found.select("row", "text", F.size("passages").alias("n_passages"))
