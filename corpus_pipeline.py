@@ -7,21 +7,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import jaccard_join
+from tidelog.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
 from tidelog.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+# A document goes if no language has at least this part of its letters, or if it has no letters.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that are mainly in one language that the labelled documents have."""
+    model = language_id.train(docs)
+    found = language_id.identify(docs, model)
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents (five-word shingles, similarity 0.8)."""
+    """Keeps the document with the smallest id of each group of linked ones (five-word shingles, similarity 0.8).
+
+    Rows that repeat an id are one document. Rows without an id cannot be told apart by it, and stay.
+    """
     groups = jaccard_join.jaccard_components(docs, size=5, percent=80)
     kept = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id"))
-    return docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    one = docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(docs.columns).unionAll(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that occur before; a document of which nothing is left goes."""
+    cut = substring_dedup.cut_passages(docs)
+    keep = (F.col("n_passages") == 0) | (F.trim("text") != "")
+    put = {"text": F.when(F.col("n_passages") == 0, F.col("row.text")).otherwise(F.col("text"))}
+    put["n_chars"] = F.when(F.col("n_passages") == 0, F.col("row.n_chars")).otherwise(F.length("text").cast("long"))
+    return cut.where(keep).select(*[put.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes documents that hold items of the benchmark."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    leaks = decontaminate.find_leaks(docs, items).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the documents' tokens in sequences of at most 1024."""
+    return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language),
     ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("decontamination", benchmark_leaks),
+    ("best_fit_packing", sequences),
 ]
 
 # Stages cut and count text in ways that SQL cannot express; tests compare them with plain Python.
