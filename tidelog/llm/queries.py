@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
+from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     found = language_id.identify(docs.select("doc_id", "text"), model)
     out = F.coalesce(language_id.held_out("row.doc_id"), F.lit(False))
     return found.select("row.doc_id", out.alias("held_out"), "lang_pred", "score", "spans")
+
+
+@query
+def op6_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under a class bigram model, and under the unigram model it is held against."""
+    out = F.coalesce(language_id.held_out("doc_id", 10, 0), F.lit(False))
+    found = class_lm.score_texts(table(spark, folder, "documents"), training=~out)
+    return found.withColumn("held_out", out)
