@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, packing, substring_dedup
+from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, merkle, packing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,9 @@ def op6_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     out = F.coalesce(language_id.held_out("doc_id", 10, 0), F.lit(False))
     found = class_lm.score_texts(table(spark, folder, "documents"), training=~out)
     return found.withColumn("held_out", out)
+
+
+@query
+def op3_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle fingerprints of all documents and of edited texts, and how alike they are."""
+    return merkle.with_edits(table(spark, folder, "documents"))
