@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.words import BLOCK_BYTES, blocks, mix, signed, small_letters, word_keys, words_of
+from tidelog.llm.words import BLOCK_BYTES, blocks, cores, mix, signed, small_letters, word_keys, words_of
 from tidelog.session import materialize
 
 WINDOW = 8
@@ -40,8 +40,6 @@ UNITS = (
 
 _LITERAL, NUMBER, NAME, UNIT = range(4)
 _A = np.uint64(0xA24BAED4963EE407)
-_WORD = np.zeros(256, bool)  # bytes of which words are made: letters, digits and everything outside ASCII
-_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def _keys_of(words: list[str]) -> np.ndarray:
@@ -59,13 +57,7 @@ def template(offsets: np.ndarray, raw: np.ndarray):
     if not len(words.start):
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none, np.zeros(len(offsets), np.int64)
-    solid = _WORD[raw]
-    place = np.arange(size)
-    following = np.minimum.accumulate(np.where(solid, place, size)[::-1])[::-1]
-    before = np.maximum.accumulate(np.where(solid, place, -1))
-    start, end = following[words.start], before[words.end - 1] + 1
-    real = start < words.end
-    start, end, doc = start[real], end[real], words.doc[real]
+    start, end, doc = cores(raw, words)
     first = np.searchsorted(doc, np.arange(len(offsets)))
     data = small_letters(raw)
     key = word_keys(data, start, end)

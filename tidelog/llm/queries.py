@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, merkle, packing, substring_dedup
+from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, merkle, packing, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,11 @@ def op6_class_lm(spark: SparkSession, folder: str) -> DataFrame:
 def op3_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Merkle fingerprints of all documents and of edited texts, and how alike they are."""
     return merkle.with_edits(table(spark, folder, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of those that are not held out."""
+    out = F.coalesce(language_id.held_out("doc_id"), F.lit(False))
+    found = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), training=~out)
+    return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

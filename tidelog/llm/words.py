@@ -119,6 +119,23 @@ def words_of(offsets: np.ndarray, raw: np.ndarray, lower: bool = True, keys: boo
     return Words(data, start, end, doc, first, key)
 
 
+# Bytes of which cores are made: letters, digits and everything outside ASCII.
+_CORE = np.zeros(256, bool)
+_CORE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def cores(raw: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and document of each word without the punctuation around it; words of punctuation are left out."""
+    if not len(words.start):
+        return words.start, words.end, words.doc
+    solid, place = _CORE[raw], np.arange(len(raw))
+    following = np.minimum.accumulate(np.where(solid, place, len(raw))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(solid, place, -1))
+    start, end = following[words.start], before[words.end - 1] + 1
+    real = start < words.end
+    return start[real], end[real], words.doc[real]
+
+
 def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Keys from the length and eight bytes at a time; one pass for each eight bytes of the longer words."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
