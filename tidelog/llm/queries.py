@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import class_lm, decontaminate, jaccard_join, language_id, merkle, packing, substring_dedup, toxicity
+from tidelog.llm import (
+    chat_tools,
+    class_lm,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    merkle,
+    packing,
+    substring_dedup,
+    token_rollup,
+    toxicity,
+)
+from tidelog.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +90,20 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     out = F.coalesce(language_id.held_out("doc_id"), F.lit(False))
     found = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), training=~out)
     return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token totals after the corpus came, copies went and mail addresses were masked; one batch is sent twice."""
+    versions = ["byte_bpe_50k", token_rollup.WORDS]
+    ledger = token_rollup.TokenLedger(spark, scratch(spark, "tokens"), versions)
+    for batch, changes in token_rollup.corpus_changes(table(spark, folder, "documents")):
+        ledger.apply(changes, batch)
+    return ledger.totals()
+
+
+@query
+def op9_chat_tools(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as linked, ordered and checked tool messages in canonical JSON."""
+    messages = chat_tools.conversation_messages(table(spark, folder, "conversations"))
+    return chat_tools.link_calls(messages, chat_tools.SCHEMAS)
