@@ -162,3 +162,12 @@ def test_diff_and_checksum(spark, log):
     assert got == {(2, "changed", "x"), (3, "missing", None), (5, "extra", None)}
     assert table_checksum(log).first() == table_checksum(log.repartition(3)).first()
     assert table_checksum(a).first() != table_checksum(b).first()
+
+
+def test_checksum_tells_neighbouring_cells_apart(spark):
+    make = lambda a, b: spark.createDataFrame([(a, b)], "a STRING, b STRING")
+    for portable in (True, False):
+        value = lambda a, b: table_checksum(make(a, b), portable=portable).first()["checksum"]
+        assert value("a|b", "c") != value("a", "b|c") and value(None, "c") != value("c", None)
+        assert value("1:a", "") != value("", "1:a") and value("~", None) != value(None, "~")
+        assert value("x", None) == value("x", None)

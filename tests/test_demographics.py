@@ -28,8 +28,8 @@ def city(name, state, age, male, female, race="White", count=100, **more):
     }
 
 
-ONE = city("Test City", "Test State", 35.5, 1000, 1100)
-TWO = {**ONE, "total_population": 3100, "median_age": 36.5}
+ONE = city("Quill Harbor", "Ostmark", 36.25, 1000, 1200)
+TWO = {**ONE, "total_population": 3200, "median_age": 37.5}
 OTHERS = [
     city("A", "North", 29.0, 400, 500), city("B", "North", 41.0, 600, 600, race="Asian"),
     city("B", "North", 41.0, 600, 600, race="White"), city("C", "South", 130.0, 0, 0), city("D", "South", None, None, None),
@@ -81,9 +81,9 @@ def test_the_event_without_a_key_is_set_aside(spark, texts):
 
 def test_rows_and_ids(mirror):
     rows = {r["record_id"]: r for r in mirror.filter("race = 'White'").collect()}
-    assert set(rows) == {"Test City_Test State", "A_North", "B_North", "C_South", "D_South"}
-    one = rows["Test City_Test State"]
-    assert (one["operation"], one["total_population"], one["median_age"], one["population_count"]) == ("UPDATE", 3100, 36.5, 100)
+    assert set(rows) == {"Quill Harbor_Ostmark", "A_North", "B_North", "C_South", "D_South"}
+    one = rows["Quill Harbor_Ostmark"]
+    assert (one["operation"], one["total_population"], one["median_age"], one["population_count"]) == ("UPDATE", 3200, 37.5, 100)
 
 
 def test_encoded_decimals(spark):
@@ -104,7 +104,7 @@ def test_unwrapped_rows_give_the_same_log(spark):
             json.dumps({**TWO, "__op": "u", "__source_ts_ms": 2, "__source_db": "app"})]
     flat = parse_flat(spark.createDataFrame([(r,) for r in rows], "value STRING"), DEMOGRAPHICS)
     log = normalize(flat, DEMOGRAPHICS, ops=("c", "u", "d"), null_op_as="u", image="row")
-    assert [(r["operation"], r["total_population"]) for r in log.collect()] == [("CREATE", 2100), ("UPDATE", 3100)]
+    assert [(r["operation"], r["total_population"]) for r in log.collect()] == [("CREATE", 2200), ("UPDATE", 3200)]
 
 
 def test_quality_queries(mirror):
@@ -116,7 +116,7 @@ def test_quality_queries(mirror):
     assert got == [("C", "INVALID_POPULATION"), ("D", "NULL_POPULATION")]
     parts = F.col("male_population") + F.col("female_population")
     worst = quality.sum_consistency(mirror, total, parts, KEY).collect()
-    assert [(r["city"], r["difference"], r["consistency"]) for r in worst][:2] == [("Test City", 1000, "INCONSISTENT"), ("A", 0, "CONSISTENT")]
+    assert [(r["city"], r["difference"], r["consistency"]) for r in worst][:2] == [("Quill Harbor", 1000, "INCONSISTENT"), ("A", 0, "CONSISTENT")]
     assert [tuple(r) for r in quality.duplicate_keys(mirror, ["city", "state"]).collect()] == [("B", "North", 2)]
     assert quality.duplicate_keys(mirror, KEY).count() == 0
 
@@ -124,7 +124,7 @@ def test_quality_queries(mirror):
 def test_rollups_and_summary(mirror):
     totals = analytics.group_totals(mirror, ["state"], "total_population", "median_age", 15, ("city_count", "state_population", "avg_state_age"))
     assert [tuple(r) for r in totals.collect()] == [
-        ("North", 3, 3300, 37.0), ("Test State", 1, 3100, 36.5), ("South", 2, 0, 130.0),
+        ("North", 3, 3300, 37.0), ("Ostmark", 1, 3200, 37.5), ("South", 2, 0, 130.0),
     ]
     total, age = F.col("total_population"), F.col("median_age")
     metrics = {
@@ -135,7 +135,7 @@ def test_rollups_and_summary(mirror):
     assert got == [("Total Records", "6"), ("Unique Cities", "5"), ("Unique States", "3"),
                    ("Records with Valid Population", "4"), ("Data Quality Score", "66.67%")]
     row = analytics.global_agg(mirror, "median_age", "total_population", "male_population", "female_population").first()
-    assert tuple(row) == (6, 55.5, 6400, 0, 1100)
+    assert tuple(row) == (6, 55.7, 6500, 0, 1200)
 
 
 def test_projections_and_ranks(mirror):
@@ -144,21 +144,21 @@ def test_projections_and_ranks(mirror):
         percent(F.col("male_population"), F.col("total_population")).alias("male_percentage"),
     )
     assert {tuple(r) for r in positive.collect()} == {
-        ("Test City", "Medium", 32.26), ("A", "Low", 44.44), ("B", "High", 50.0),
+        ("Quill Harbor", "Medium", 31.25), ("A", "Low", 44.44), ("B", "High", 50.0),
     }
     ranked = ranking.global_row_number(mirror.select(*KEY, "total_population"), "total_population", KEY, "population_rank")
-    assert [r["city"] for r in ranked.orderBy("population_rank").collect()] == ["Test City", "B", "B", "A", "C", "D"]
+    assert [r["city"] for r in ranked.orderBy("population_rank").collect()] == ["Quill Harbor", "B", "B", "A", "C", "D"]
     shares = ranking.global_percent_rank(mirror.select("city", "median_age"), "median_age", "age_percentile")
     assert {(r["city"], r["age_percentile"]) for r in shares.collect()} == {
-        ("A", 0.0), ("Test City", 0.2), ("B", 0.4), ("C", 0.8), ("D", 1.0),
+        ("A", 0.0), ("Quill Harbor", 0.2), ("B", 0.4), ("C", 0.8), ("D", 1.0),
     }
     safe = mirror.filter("city = 'D'").select(*or_default({"median_age": 0.0, "total_population": 0})).first()
     assert tuple(safe) == (0.0, 0)
 
 
 def test_the_update_arrived(spark, mirror):
-    sent = spark.createDataFrame([("Test City",), ("Nowhere",)], "city STRING")
+    sent = spark.createDataFrame([("Quill Harbor",), ("Nowhere",)], "city STRING")
     got = {tuple(r) for r in reconcile.arrival_check(sent, mirror, ["city"]).collect()}
-    assert got == {("Test City", True), ("Nowhere", False)}
+    assert got == {("Quill Harbor", True), ("Nowhere", False)}
     results = observe.checks(mirror, {"has_rows": F.count("*") > 0, "ages_in_range": F.max("median_age") <= 120})
     assert observe.health_score(results).first()["status"] == "DEGRADED"

@@ -37,7 +37,7 @@ def test_row_number(rows, descending):
     assert bag(got) == bag(want)
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "hot_share": 0.1}])
+@pytest.mark.parametrize("limits", [{}, {"hot_share": 0.1}, {"hot_share": 1.0}])
 def test_percent_rank(rows, limits):
     want = rows.select("id", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())).alias("p"))
     got = ranking.global_percent_rank(rows, "v", "p", **limits).select("id", "p")

@@ -58,9 +58,12 @@ def group_totals(
     return ordered if n is None else ordered.limit(n)
 
 
-def exact_mean(value: Column, digits: int = 6) -> Column:
-    """Mean from an exact sum, so that the result does not depend on the order of addition."""
-    exact = F.sum(value.cast("decimal(28,6)")).cast("double")
+def exact_mean(value: Column, digits: int = 6, scale: int = 6) -> Column:
+    """Mean from an exact sum, so that the result does not depend on the order of addition.
+
+    Values are rounded to ``scale`` decimals before they are added; smaller ones need a larger scale.
+    """
+    exact = F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
     return F.round(F.try_divide(exact, F.count(value).cast("double")), digits)
 
 

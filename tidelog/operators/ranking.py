@@ -13,7 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.session import BROADCAST_ROWS, materialize
+from tidelog.session import materialize
 
 # monotonically_increasing_id puts the partition number above these bits and the row position in them.
 _POSITION_BITS = 33
@@ -79,22 +79,18 @@ def join_lookup(
     lookup: DataFrame,
     column: str,
     total: int,
-    broadcast_rows: int = BROADCAST_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Inner join of ``df[column]`` with the unique ``lookup.value``, NULL matching NULL.
 
-    A small lookup is broadcast. Otherwise only the values that own more than ``hot_share`` of the
-    rows are broadcast, of which there are at most ``1 / hot_share``, and the rest is shuffled with
-    no hot value left in it.
+    The values that own more than ``hot_share`` of the rows are broadcast, of which there are at most
+    ``1 / hot_share``, and the rest is joined without a hint: no hot value is left in it.
     """
     keep = [c for c in lookup.columns if c != "value"]
 
     def attach(rows: DataFrame, side: DataFrame) -> DataFrame:
         return rows.join(side, F.col(column).eqNullSafe(F.col("value"))).select(*df.columns, *keep)
 
-    if lookup.count() <= broadcast_rows:
-        return attach(df, F.broadcast(lookup))
     is_hot = F.col("rows") > F.lit(int(total * hot_share))
     hot = F.broadcast(lookup.filter(is_hot))
     cold_rows = df.join(hot, F.col(column).eqNullSafe(F.col("value")), "left_anti")

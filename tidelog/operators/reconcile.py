@@ -71,15 +71,17 @@ def reconcile_diff(
 def table_checksum(df: DataFrame, columns: Mapping[str, Column] | None = None, portable: bool = False) -> DataFrame:
     """Row count and a checksum that does not depend on row order.
 
-    The fast form sums 64-bit hashes. ``portable=True`` sums the first 60 bits of an MD5 over the
-    columns as text, which any database can repeat.
+    The fast form sums 64-bit hashes of values and null flags in place. ``portable=True`` sums the first 60 bits
+    of an MD5 over the columns as text, each as its length, a colon and itself, or ``~`` for NULL, which any
+    database can repeat. So a value cannot pass for a part of its neighbour.
     """
     chosen = columns or {c: F.col(c) for c in df.columns}
     if portable:
-        text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in chosen.values()])
+        cells = [c.cast("string") for c in chosen.values()]
+        text = F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("~")) for c in cells])
         value = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
     else:
-        value = F.xxhash64(*chosen.values())
+        value = F.xxhash64(*[part for c in chosen.values() for part in (c.isNull(), c)])
     return df.agg(
         F.count("*").alias("row_count"),
         F.sum(value.cast("decimal(28,0)")).cast("string").alias("checksum"),

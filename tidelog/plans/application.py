@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import apply
 from tidelog.operators.reconcile import join_inner, reconcile_diff
 from tidelog.plans import changes as ch
-from tidelog.plans.changes import LINE_KEY, LINE_ORDER, LINE_SQL, LOG_SQL
+from tidelog.plans.changes import LINE_KEY, LINE_ORDER, LINE_SQL, LOG_SQL, MESSY_SQL
 from tidelog.plans.registry import query
 from tidelog.sources.readers import table
 
@@ -27,9 +27,10 @@ def row_log(spark, folder):
     return ch.change_log(spark, folder, image="row")
 
 
-@query(f"WITH {LOG_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STATE_SQL} FROM newest WHERE op <> 'd'")
+@query(f"WITH {MESSY_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STATE_SQL} FROM newest WHERE op <> 'd'")
 def mirror_current(spark, folder):
-    return apply.mirror_current(row_log(spark, folder), KEY, ORDER)
+    """From messages of which some cannot be applied."""
+    return apply.mirror_current(ch.messy_log(spark, folder), KEY, ORDER)
 
 
 @query(f"WITH {LINE_SQL} SELECT * FROM lnew WHERE op <> 'd'")

@@ -7,8 +7,7 @@ delete, anything else an update. The number ``k`` in ``props`` decides the old i
 * the new value of an update is NULL if k >= 90 (an update to NULL)
 * the new row time is missing if k < 30
 
-``LOG_SQL`` says the same for DuckDB. Both are plain projections, so the derivation adds no shuffle,
-except that a table with fewer splits than cores is first spread over the cores.
+``LOG_SQL`` says the same for DuckDB. Both are plain projections, so the derivation adds no shuffle.
 """
 
 from __future__ import annotations
@@ -16,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.normalize import normalize
+from tidelog.operators.normalize import accepted, normalize
 from tidelog.schema import Feed
-from tidelog.session import widen
 from tidelog.sources.messages import parse_envelope, to_envelope
 from tidelog.sources.readers import table
 
@@ -37,7 +35,7 @@ def instant(column: str = "ts"):
 
 def change_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Typed change rows: lsn, k, before, after, op, ts_ms, source."""
-    events = widen(table(spark, folder, "events"), "event_id")
+    events = table(spark, folder, "events")
     micros = F.unix_micros(instant())
     k = F.get_json_object("props", "$.k").cast("long")
     kind = F.col("event_type")
@@ -77,8 +75,12 @@ def _source():
 
 def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """The log as envelope text."""
-    rows = change_rows(spark, folder).withColumn("source", _source())
-    return rows.select(to_envelope(rows).alias("value"))
+    return as_envelopes(change_rows(spark, folder))
+
+
+def as_envelopes(rows: DataFrame, *more: str) -> DataFrame:
+    rows = rows.withColumn("source", _source())
+    return rows.select(to_envelope(rows.drop(*more)).alias("value"), *more)
 
 
 def wrapped(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,9 +137,16 @@ def log_position() -> dict:
 
 def change_log(spark: SparkSession, folder: str, image: str = "column", **options) -> DataFrame:
     """Envelope text through the parser into the typed change log."""
-    return normalize(
-        parsed(spark, folder), FEED, image=image, carry=log_position(), processing_time=False, **options
-    )
+    return typed(parsed(spark, folder), image, **options)
+
+
+def typed(rows: DataFrame, image: str, **options) -> DataFrame:
+    """The change log of the events that can be applied; the others belong to the quarantine."""
+    return normalize(accepted(rows, FEED), FEED, image=image, carry=log_position(), processing_time=False, **options)
+
+
+def messy_log(spark: SparkSession, folder: str) -> DataFrame:
+    return typed(parse_envelope(messy_envelopes(spark, folder), FEED), "row")
 
 
 def line_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,6 +194,13 @@ img AS (
   FROM chg)
 """
 
+# The log of the messy messages: what a quarantine leaves.
+MESSY_SQL = LOG_SQL.replace(
+    "  FROM events)",
+    "  FROM events WHERE CAST(json_extract(props, '$.k') AS BIGINT) NOT IN (13, 17, 19)\n"
+    "    AND NOT (CAST(json_extract(props, '$.k') AS BIGINT) = 23 AND event_type = 'error'))",
+)
+
 LINE_SQL = """
 llog AS (
   SELECT *, CASE l_returnflag WHEN 'N' THEN 'c' WHEN 'R' THEN 'u' ELSE 'd' END AS op FROM lineitem),

@@ -32,9 +32,8 @@ def stage_counts(spark, folder):
 
 @query("""
 SELECT COUNT(*) AS row_count, CAST(SUM(CAST('0x' || substr(md5(
-  CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus || '|' ||
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '|' || CAST(o_orderdate AS VARCHAR) || '|' || o_orderpriority),
-  1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM orders
+  COALESCE(length(CAST(o_orderkey AS VARCHAR)) || ':' || CAST(o_orderkey AS VARCHAR), '~') || COALESCE(length(CAST(o_custkey AS VARCHAR)) || ':' || CAST(o_custkey AS VARCHAR), '~') || COALESCE(length(CAST(o_orderstatus AS VARCHAR)) || ':' || CAST(o_orderstatus AS VARCHAR), '~') || COALESCE(length(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)) || ':' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '~') ||
+  COALESCE(length(CAST(o_orderdate AS VARCHAR)) || ':' || CAST(o_orderdate AS VARCHAR), '~') || COALESCE(length(CAST(o_orderpriority AS VARCHAR)) || ':' || CAST(o_orderpriority AS VARCHAR), '~')), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum FROM orders
 """)
 def table_checksum(spark, folder):
     orders = table(spark, folder, "orders")
@@ -63,11 +62,6 @@ def consumer_lag(spark, folder):
     return observe.consumer_lag(log, progress, "event_type", "event_id", "position")
 
 
-@query()
-def file_audit(spark, folder):
-    return observe.file_audit(observe.file_listing(spark, folder, "*.parquet"))
-
-
 @query("""
 WITH t AS (SELECT event_type, ((epoch_us(ts) // 1000) // 30000 + 1) * 30000 - epoch_us(ts) // 1000 AS ms FROM events)
 SELECT event_type, COUNT(*) AS rows, ROUND(CAST(SUM(ms) AS DOUBLE) / COUNT(*), 3) AS avg_ms,

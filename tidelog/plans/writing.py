@@ -6,69 +6,131 @@ from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators import apply
 from tidelog.operators.normalize import normalize
 from tidelog.plans import changes as ch
-from tidelog.plans.application import KEY, NEWEST, ORDER, STATE_SQL, row_log
-from tidelog.plans.changes import FEED, LOG_SQL, log_position
+from tidelog.plans.application import KEY, MIDDLE, NEWEST, ORDER, STATE_SQL, moment, row_log
+from tidelog.plans.changes import FEED, LOG_SQL, MESSY_SQL, log_position
 from tidelog.plans.registry import query
 from tidelog.session import scratch
-from tidelog.sources import storage
+from tidelog.sources import readers, storage
 from tidelog.sources.messages import parse_envelope
-from tidelog.sources.readers import message_stream
+from tidelog.sources.readers import message_stream, table
 from tidelog.streaming import completeness, runner, writers
 from tidelog.streaming.mirror_table import MirrorTable
 
-BATCHES = 6
+# Text that one micro-batch of the registered queries takes, and the most messages in a landed file.
+BATCH_BYTES = 1 << 30
+FILE_MESSAGES = 1_000_000
 
-LIVE_SQL = f"WITH {LOG_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STATE_SQL} FROM newest WHERE op <> 'd'"
+# Buckets of a mirror for each gigabyte of landed text; the table keeps the number that it began with.
+BUCKETS_PER_GB = 8
+
+LIVE_SQL = f"WITH {MESSY_SQL}, newest AS (SELECT * FROM img {NEWEST}) SELECT {STATE_SQL} FROM newest WHERE op <> 'd'"
 ALL_SQL = f"WITH {LOG_SQL} SELECT {STATE_SQL} FROM img"
+MESSY_ALL_SQL = f"WITH {MESSY_SQL} SELECT {STATE_SQL} FROM img"
 
 
-def land(messages: DataFrame, folder: str) -> int:
-    """Writes messages as text files, one for each partition they come in, and returns their number."""
-    messages.write.text(folder)
-    return storage.file_count(messages.sparkSession, folder)
+def land(messages: DataFrame, folder: str, file_messages: int = FILE_MESSAGES) -> int:
+    """Writes messages as text files and returns their bytes."""
+    messages.write.option("maxRecordsPerFile", file_messages).mode("append").text(folder)
+    return storage.size(messages.sparkSession, folder)
 
 
 def streamed_log(messages: DataFrame) -> DataFrame:
-    """The same parser and normaliser that the batch queries use, on a stream of text."""
-    rows = parse_envelope(messages.select("value"), FEED)
-    return normalize(rows, FEED, image="row", carry=log_position(), processing_time=False)
+    """The same parser, quarantine and normaliser that the batch queries use, on a stream of text."""
+    return ch.typed(parse_envelope(messages.select("value"), FEED), "row")
 
 
-def incoming(spark: SparkSession, folder: str, purpose: str) -> tuple[DataFrame, str, int]:
-    """A stream over the landed change log in about ``BATCHES`` micro-batches, a fresh root folder
-    for what is made of it, and the number of files that landed."""
+def incoming(
+    spark: SparkSession, folder: str, purpose: str, batch_bytes: int = BATCH_BYTES, file_messages: int = FILE_MESSAGES
+) -> tuple[DataFrame, str, int]:
+    """A stream of the landed messy messages, a fresh root folder for what is made of it, and the landed bytes."""
     root = scratch(spark, purpose)
-    files = land(ch.envelopes(spark, folder), f"{root}/in")
-    stream = message_stream(spark, f"{root}/in", ceil(files / BATCHES))
-    return streamed_log(stream), root, files
+    size = land(ch.messy_envelopes(spark, folder), f"{root}/in", file_messages)
+    return message_stream(spark, f"{root}/in", bytes_per_batch=batch_bytes), root, size
 
 
-@query(ALL_SQL)
-def stream_append(spark, folder):
-    log, root, _ = incoming(spark, folder, "append")
+@query(MESSY_ALL_SQL)
+def stream_append(spark, folder, **limits):
+    messages, root, _ = incoming(spark, folder, "append", **limits)
+    log = streamed_log(messages)
     writers.append(log, f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(log.schema).parquet(f"{root}/out")
 
 
-@query(LIVE_SQL)
-def mirror_stream(spark, folder):
-    log, root, files = incoming(spark, folder, "mirror")
-    buckets = min(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _mirror(spark, folder, purpose: str, bucketed: bool, fold_every: int, **limits) -> MirrorTable:
+    messages, root, size = incoming(spark, folder, purpose, **limits)
+    log = streamed_log(messages)
+    buckets = max(2, ceil(size * BUCKETS_PER_GB / (1 << 30))) if bucketed else None
     mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER, buckets=buckets)
-    runner.run(log, mirror.each_batch(fold_every=4), f"{root}/checkpoint")
-    return mirror.current()
+    runner.run(log, mirror.each_batch(fold_every=fold_every, keep_versions=2), f"{root}/checkpoint")
+    return mirror
+
+
+@query(LIVE_SQL)
+def mirror_stream(spark, folder, **limits):
+    """A bucketed mirror that is folded at every fourth batch."""
+    return _mirror(spark, folder, "mirror", True, 4, **limits).current()
 
 
 @query(LIVE_SQL)
-def mirror_merge_on_read(spark, folder):
-    log, root, _ = incoming(spark, folder, "deltas")
+def mirror_merge_on_read(spark, folder, **limits):
+    """Base and deltas together; the base is written anew at every sixteenth batch."""
+    return _mirror(spark, folder, "deltas", False, 16, **limits).current()
+
+
+@query(f"""
+WITH {MESSY_SQL}, newest AS (SELECT * FROM img WHERE event_time < TIMESTAMP '{MIDDLE}' {NEWEST})
+SELECT {STATE_SQL} FROM newest WHERE op <> 'd'
+""")
+def mirror_as_of_version(spark, folder):
+    """Two batches, before and from a moment on; the table as it was after the first, read after the second."""
+    root = scratch(spark, "versions")
+    log = ch.messy_log(spark, folder)
     mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER)
-    runner.run(log, mirror.each_batch(), f"{root}/checkpoint")
-    return mirror.current()
+    mirror.write_batch(log.filter(F.col("event_time") < moment()), 0)
+    mirror.write_batch(log.filter(F.col("event_time") >= moment()), 1)
+    return mirror.current(through=0)
+
+
+@query(f"""
+WITH {LOG_SQL}, tagged AS (
+  SELECT CASE WHEN k IN (13, 17) THEN 'malformed' WHEN k = 19 THEN 'unknown_op'
+              WHEN k = 23 AND op = 'd' THEN 'invalid_key' ELSE 'accepted' END AS reason, op FROM chg)
+SELECT reason, COUNT(*) AS events FROM tagged GROUP BY reason
+""")
+def quarantine_stream(spark, folder, **limits):
+    """Two writes per micro-batch: the log, and the messages that cannot be applied with the reason."""
+    messages, root, _ = incoming(spark, folder, "quarantine", **limits)
+    rows = parse_envelope(messages.select("value"), FEED)
+    shape = lambda kept: normalize(kept, FEED, image="row", carry=log_position(), processing_time=False)
+    runner.run(rows, writers.quarantine(FEED, f"{root}/log", f"{root}/aside", shape), f"{root}/checkpoint")
+    log = writers.finished(spark, f"{root}/log", shape(rows).schema).select(F.lit("accepted").alias("reason"))
+    aside = writers.finished(spark, f"{root}/aside", T.StructType([T.StructField("reason", T.StringType())]))
+    return log.unionByName(aside).groupBy("reason").agg(F.count("*").alias("events"))
+
+
+ROUND_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+ROUND_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query(ROUND_SQL)
+def csv_round_trip(spark, folder):
+    """A table written as delimited text and read with a declared schema."""
+    root, rows = scratch(spark, "csv"), table(spark, folder, "customer").select(*ROUND_COLUMNS)
+    rows.write.option("header", "true").option("delimiter", ";").csv(root)
+    return readers.csv(spark, root, rows.schema, delimiter=";").filter("corrupt IS NULL").drop("corrupt")
+
+
+@query(ROUND_SQL)
+def json_round_trip(spark, folder):
+    """A table written as JSON lines and read with a declared schema."""
+    root, rows = scratch(spark, "json"), table(spark, folder, "customer").select(*ROUND_COLUMNS)
+    rows.write.json(root)
+    return readers.json(spark, root, rows.schema)
 
 
 @query(f"WITH {LOG_SQL} SELECT {STATE_SQL} FROM img WHERE op IN ('c', 'u', 'r')")
@@ -94,14 +156,13 @@ def partition_by_value(spark, folder):
 @query(f"""
 WITH {LOG_SQL}
 SELECT strftime(event_time, '%Y-%m-%d') AS event_date, COUNT(*) AS rows, COUNT(DISTINCT user_id) AS users
-FROM img WHERE event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1
+FROM img GROUP BY 1
 """)
 def partition_by_event_date(spark, folder):
-    """Written by date, then a range of dates is read back through partition pruning."""
+    """Written by date and read back, every date."""
     log = row_log(spark, folder).withColumn("event_date", F.date_format("event_time", "yyyy-MM-dd"))
     written = writers.write_partitioned(log, scratch(spark, "by-date"), ["event_date"])
-    some = written.filter((F.col("event_date") >= "2024-01-10") & (F.col("event_date") < "2024-01-20"))
-    return some.groupBy("event_date").agg(
+    return written.groupBy("event_date").agg(
         F.count("*").alias("rows"), F.count_distinct("user_id").alias("users")
     )
 
@@ -136,36 +197,52 @@ def keyed_messages(spark, folder):
 
 
 @query(f"""
-WITH {LOG_SQL}
+WITH {MESSY_SQL}
 SELECT 'log' AS target, COUNT(*) AS rows, COUNT(amount) AS amounts, CAST(NULL AS VARCHAR) AS data_source FROM img
 UNION ALL SELECT 'debug', COUNT(*), COUNT(amount), 'PostgreSQL_CDC' FROM img WHERE op <> 'd'
 """)
 def fan_out(spark, folder):
-    log, root, _ = incoming(spark, folder, "fan-out")
+    messages, root, _ = incoming(spark, folder, "fan-out")
+    log = streamed_log(messages)
     tagged = lambda rows: rows.filter("op <> 'd'").select(
         "user_id", "amount", F.lit("PostgreSQL_CDC").alias("data_source")
     )
     targets = {"log": (f"{root}/log", lambda rows: rows), "debug": (f"{root}/debug", tagged)}
     runner.run(log, writers.fan_out(targets), f"{root}/checkpoint")
     counts = [
-        spark.read.parquet(path).agg(
+        writers.finished(spark, path, shape(log).schema).agg(
             F.lit(name).alias("target"),
             F.count("*").alias("rows"),
             F.count("amount").alias("amounts"),
             (F.max("data_source") if name == "debug" else F.lit(None).cast("string")).alias("data_source"),
         )
-        for name, (path, _) in targets.items()
+        for name, (path, shape) in targets.items()
     ]
     return counts[0].unionByName(counts[1])
 
 
+# First days of the slices in which ``stream_watermark_dedupe`` gets its messages.
+SLICES = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
+
+
 @query(ALL_SQL)
 def stream_watermark_dedupe(spark, folder):
-    """Each message is delivered twice; one micro-batch, so that no row can be late."""
+    """Each message is delivered twice, in slices of event time that arrive one after the other.
+
+    Both deliveries are in the slice of their time, so the watermark, which is at the end of a slice when
+    the next one comes, lets go of state and makes no row late. The slices go by date and not by files.
+    """
     root = scratch(spark, "dedupe")
-    twice = ch.envelopes(spark, folder).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    land(twice.drop("_copy"), f"{root}/in")
-    log = streamed_log(message_stream(spark, f"{root}/in"))
-    unique = apply.dedupe_stream(log, KEY, ["lsn"])
-    writers.append(unique, f"{root}/out", f"{root}/checkpoint")
+    rows = ch.change_rows(spark, folder)
+    day = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd")
+    number = sum((F.when(day >= first, 1).otherwise(0) for first in SLICES), F.lit(0))
+    twice = ch.as_envelopes(rows.withColumn("slice", number), "slice").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    twice.drop("copy").write.partitionBy("slice").text(f"{root}/slices")
+    for part in range(len(SLICES) + 1):
+        here = f"{root}/slices/slice={part}"
+        if not storage.exists(spark, here):
+            continue
+        land(spark.read.schema("value string").text(here), f"{root}/in")
+        log = streamed_log(message_stream(spark, f"{root}/in", bytes_per_batch=BATCH_BYTES))
+        writers.append(apply.dedupe_stream(log, KEY, ["lsn"]), f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(log.schema).parquet(f"{root}/out")

@@ -5,22 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.sources import storage
 
-# At most this many narrow rows (keys and numbers) are broadcast; more are shuffled.
-BROADCAST_ROWS = 1_000_000
-
-# Input bytes on disk for one shuffle partition, and the most partitions a shuffle starts with.
-PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
-
-
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process runs everything, so its own folders are shared by all there is."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def local_session(name: str = "tidelog", cores: str = "*", **conf: str) -> SparkSession:
@@ -44,24 +37,10 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit(spark: SparkSession, input_bytes: int) -> int:
-    """Starts shuffles with enough partitions for the input, if the session's number is too small.
-
-    Adaptive execution joins partitions that turn out small, so only the upper end needs care. The
-    session's ``spark.sql.shuffle.partitions`` stays: streams with state depend on it.
-    """
-    wanted = min(ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
-    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    now = int(spark.conf.get(start, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > now:
-        spark.conf.set(start, str(wanted))
-    return max(wanted, now)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a session of one process, as tests and the benchmark start, may use a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -90,17 +69,6 @@ def clear_scratch(spark: SparkSession) -> None:
     storage.delete(spark, scratch_root(spark))
 
 
-def widen(df: DataFrame, *by: str) -> DataFrame:
-    """Hashes a scan that has fewer splits than the session has cores over the cores.
-
-    For costly work per row on small tables of one or two files. A scan of a large table has more
-    splits than that and stays as it is, without a shuffle. ``df`` must be a scan, since counting the
-    partitions of anything behind a shuffle would run that shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
-
-
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

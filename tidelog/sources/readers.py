@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,15 +47,23 @@ def generator(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
 
 
-def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def message_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None,
+    since: dt.datetime | None = None,
+) -> DataFrame:
     """Text files that keep arriving in a folder, one message per line, with their arrival time.
 
-    It starts with the files that are there; the writers' ``startup="latest"`` starts after them.
+    A micro-batch is bounded by files or by bytes. With ``since`` the rows of files that are older do not enter the
+    stream at all: they are left out at the scan, before any operator that keeps state.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    elif bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     stream = reader.format("text").load(path)
+    if since is not None:
+        stream = stream.filter(F.col("_metadata.file_modification_time") > F.lit(since))
     return stream.select("value", F.col("_metadata.file_modification_time").alias("record_time"))
 
 

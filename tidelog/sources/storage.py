@@ -1,4 +1,4 @@
-"""Small file-system operations that work on any store Spark can reach."""
+"""Small file-system operations that work on any store Spark can reach. They need a classic session."""
 
 from __future__ import annotations
 
@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finished writing a folder: its committer leaves a mark as the last thing."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file; an existing one is replaced."""
     fs, p = _at(spark, path)

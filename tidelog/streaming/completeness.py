@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.sources import storage
@@ -25,12 +25,14 @@ def partition_completeness(
 ) -> DataFrame:
     """Rows and newest time per event date, and whether the watermark has passed its end plus delay.
 
-    The watermark is the newest time in the table less the disorder, found by a scalar subquery.
+    The watermark is the newest time in the table less the disorder, taken from the dates' own newest
+    times, of which there is one row per date: the table is read once.
     """
     days = df.groupBy(F.to_date(time).alias("event_date")).agg(
         F.count("*").alias("rows"), F.max(time).alias("last_event")
     )
-    return _status(days, df.select(F.max(time)).scalar(), disorder, delay)
+    newest = F.max("last_event").over(Window.partitionBy(F.lit(0)))
+    return _status(days, newest, disorder, delay)
 
 
 def commit_partitions(
@@ -50,9 +52,10 @@ def commit_partitions(
         earlier = sorted(n for n in earlier if n < batch_id)
         dated = rows.withColumn("event_date", F.to_date(time)).persist()
         try:
-            dated.hint("rebalance", F.col("event_date")).write.mode("overwrite").partitionBy("event_date").parquet(
-                f"{path}/batch_id={batch_id}"
-            )
+            if not storage.committed(spark, f"{path}/batch_id={batch_id}"):
+                dated.hint("rebalance", F.col("event_date")).write.mode("overwrite").partitionBy("event_date").parquet(
+                    f"{path}/batch_id={batch_id}"
+                )
             days = dated.groupBy("event_date").agg(F.max(time).alias("last_event"), F.count("*").alias("rows"))
             if earlier:
                 days = days.unionByName(spark.read.schema(days.schema).parquet(summary(earlier[-1])))
@@ -67,8 +70,9 @@ def commit_partitions(
         seen = spark.read.parquet(summary(batch_id))
         done = _status(seen, seen.select(F.max("last_event")).scalar(), disorder, delay).filter("complete")
         marked = set(storage.folders(spark, f"{path}/_complete"))
-        # One short row per complete date.
-        for row in done.select(F.concat(F.lit("event_date="), "event_date").alias("name")).collect():
+        # One short row per date that became complete since.
+        names = F.concat(F.lit("event_date="), "event_date")
+        for row in done.filter(~names.isin(sorted(marked)) if marked else F.lit(True)).select(F.concat(F.lit("event_date="), "event_date").alias("name")).collect():
             if row["name"] not in marked:
                 storage.touch(spark, f"{path}/_complete/{row['name']}/{MARKER}")
 

@@ -3,42 +3,42 @@
 Layout below the root::
 
     deltas/batch_id=N/     newest event per key of micro-batch N
+    rejected/batch_id=N/   its events without a whole key, which no mirror can hold
     base/version=N/        newest event per key of all batches up to N, and a _FOLDED mark
 
-A batch writes only its own delta, so the cost of a batch follows the batch and not the table, and
-a repeated batch replaces its own folder. Readers take the newest marked base and the deltas after
-it. Deletes stay in both as rows, so that an older event that arrives late cannot bring a row back.
+A batch writes only its own delta, so the cost of a batch follows the batch and not the table. A delta counts
+once it is finished, and a finished one is never written again, so readers see whole batches also while one is
+repeated. Readers take the newest marked base and the deltas after it. Deletes stay in both as rows, so that an
+older event that arrives late cannot bring a row back.
 
-Reading and folding leave the base where it is if they can: of few changes, which the file footers
-count, the keys are broadcast, and with
-``buckets`` the base is bucketed by key, so that larger deltas are shuffled to it and not the other
-way round. Without buckets, larger deltas mean a shuffle of base and deltas by key.
+With ``buckets`` the base is bucketed by key: deltas are shuffled to it and it stays where it is. Without, base and
+deltas are shuffled by key. Keys are never NULL, so both ways give the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from hashlib import md5
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.apply import latest, merge_newest
 from tidelog.schema import DELETE
-from tidelog.session import BROADCAST_ROWS
 from tidelog.sources import storage
 
 
 class MirrorTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], order: Sequence[str],
-        broadcast_rows: int = BROADCAST_ROWS, buckets: int | None = None,
+        buckets: int | None = None,
     ):
         self.buckets = buckets
         self.spark, self.root, self.schema = spark, root, schema
         self.key, self.order = list(key), list(order)
-        self.broadcast_rows = broadcast_rows
 
     def _delta(self, batch_id: int) -> str:
         return f"{self.root}/deltas/batch_id={batch_id}"
@@ -47,7 +47,9 @@ class MirrorTable:
         return f"{self.root}/base/version={version}"
 
     def batches(self) -> list[int]:
-        return sorted(int(f.split("=")[1]) for f in storage.folders(self.spark, f"{self.root}/deltas"))
+        """Ids of the finished batches."""
+        named = [int(f.split("=")[1]) for f in storage.folders(self.spark, f"{self.root}/deltas")]
+        return sorted(b for b in named if storage.committed(self.spark, self._delta(b)))
 
     def versions(self) -> list[int]:
         """Batch ids up to which a finished base exists."""
@@ -55,16 +57,26 @@ class MirrorTable:
         return sorted(v for v in named if storage.exists(self.spark, f"{self._base(v)}/_FOLDED"))
 
     def write_batch(self, log: DataFrame, batch_id: int) -> None:
-        newest = latest(log.select(*self.schema.names), self.key, self.order)
+        if storage.committed(self.spark, self._delta(batch_id)):
+            return
+        rows = log.select(*self.schema.names)
+        whole = reduce(and_, [F.col(c).isNotNull() for c in self.key])
+        rows.filter(~whole).write.mode("overwrite").parquet(f"{self.root}/rejected/batch_id={batch_id}")
+        newest = latest(rows.filter(whole), self.key, self.order)
         newest.write.mode("overwrite").parquet(self._delta(batch_id))
 
-    def each_batch(self, fold_every: int | None = None):
-        """A function for ``runner.run`` that takes in a batch and folds every so many batches."""
+    def each_batch(self, fold_every: int | None = None, keep_versions: int | None = None):
+        """A function for ``runner.run`` that takes in a batch and folds every so many batches.
+
+        With ``keep_versions`` only so many folded versions, and the deltas after the oldest, stay.
+        """
 
         def apply(rows: DataFrame, batch_id: int) -> None:
             self.write_batch(rows, batch_id)
             if fold_every and (batch_id + 1) % fold_every == 0:
                 self.fold(batch_id)
+                if keep_versions and len(self.versions()) > keep_versions:
+                    self.vacuum(self.versions()[-keep_versions])
 
         return apply
 
@@ -100,39 +112,12 @@ class MirrorTable:
         base = self._read_base(start)
         if not paths:
             return base
-        if deltas.count() <= self.broadcast_rows:
-            return self._overlay(base, latest(deltas, self.key, self.order))
         if self.buckets:
             # A delta holds a key at most once, so hashing deltas before the cut sends no hot key.
             hashed = deltas.repartition(self.buckets, *self.key)
             return merge_newest(base, hashed, self.key, self.order)
         return latest(base.unionByName(deltas), self.key, self.order)
 
-    def _overlay(self, base: DataFrame, small: DataFrame) -> DataFrame:
-        """Few changes over a large base that stays where it is: no shuffle of the base.
-
-        Only key and order of the changes are broadcast. They decide which base rows stay, and a
-        second, narrow look at the base decides which changes are newer than what it holds.
-        """
-        names, key = self.schema.names, self.key
-
-        def rank(name: str) -> Column:
-            return F.struct(*self.order).alias(name)
-
-        marks = F.broadcast(small.select(*key, rank("_new")))
-        kept = (
-            base.select(*names, rank("_old"))
-            .join(marks, key, "left")
-            .filter(F.col("_new").isNull() | (F.col("_old") > F.col("_new")))
-        )
-        held = base.select(*key, rank("_old")).join(F.broadcast(small.select(*key)), key, "left_semi")
-        fresh = (
-            small.select(*names, rank("_new"))
-            .join(held, key, "left")
-            .filter(F.col("_old").isNull() | (F.col("_new") >= F.col("_old")))
-        )
-        return kept.select(*names).unionByName(fresh.select(*names))
-
     def current(self, through: int | None = None) -> DataFrame:
         return self.newest(through).filter(~F.coalesce(F.col("op") == DELETE, F.lit(False)))
 

@@ -7,6 +7,7 @@ the batch form of the same code.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,34 +33,27 @@ def triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> D
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def run(
-    stream: DataFrame, each_batch: EachBatch, checkpoint: str, every: str | None = None, startup: str = "earliest"
-) -> StreamingQuery:
+def run(stream: DataFrame, each_batch: EachBatch, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Calls ``each_batch(rows, batch_id)`` for every micro-batch.
 
     A batch that failed is called again with the same id and the same rows, so ``each_batch`` must
     write to places that depend on the id only.
     """
 
-    def skip(rows: DataFrame, batch_id: int) -> None:
-        rows.write.format("noop").mode("overwrite").save()
-
-    position(stream, checkpoint, startup, lambda nothing: run(nothing, skip, checkpoint))
     return finish(triggered(stream.writeStream.foreachBatch(each_batch), checkpoint, every).start(), every)
 
 
-def position(
-    stream: DataFrame, checkpoint: str, startup: str, catch_up: Callable[[DataFrame], StreamingQuery]
-) -> None:
-    """Startup position of a file stream. With "latest" the files that are there count as seen.
+def start_moment(spark: SparkSession, checkpoint: str) -> dt.datetime:
+    """When the stream with this checkpoint was first started: now, at the first call.
 
-    They are passed by with a filter that no row meets, so their contents are not read. Only the
-    first start skips: a later one finds the checkpoint and goes on where it stopped.
+    ``message_stream(..., since=start_moment(spark, checkpoint))`` starts after the files that are there then. The
+    moment is kept beside the checkpoint, so the plan is the same from the first batch on and after a restart.
     """
-    if startup not in ("earliest", "latest"):
-        raise ValueError("startup is 'earliest' or 'latest'")
-    if startup == "latest" and not storage.exists(stream.sparkSession, f"{checkpoint}/offsets"):
-        catch_up(stream.filter(F.lit(False)))
+    place = f"{checkpoint}_start"
+    if not storage.committed(spark, place):
+        # Files are as old as their store says, in whole milliseconds; the next one belongs to the stream.
+        spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(place)
+    return spark.read.parquet(place).first()["at"]
 
 
 def finish(query: StreamingQuery, every: str | None) -> StreamingQuery:

@@ -11,21 +11,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.apply import latest
-from tidelog.schema import DELETE
+from tidelog.operators.normalize import accepted, quarantined
+from tidelog.schema import DELETE, Feed
 from tidelog.sources import storage
-from tidelog.streaming.runner import EachBatch, finish, position, triggered
+from tidelog.streaming.runner import EachBatch, finish, triggered
 
-# The two target file sizes in use.
-SMALL_TARGET_BYTES = 64 * 1024 * 1024
+# Fixed value: the target file size in use.
 TARGET_BYTES = 128 * 1024 * 1024
 
 
 def append(
     stream: DataFrame, path: str, checkpoint: str, kind: str = "parquet", by: Sequence[str] = (),
-    every: str | None = None, startup: str = "earliest",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Appends a stream to Parquet or JSON files, each row exactly once."""
-    position(stream, checkpoint, startup, lambda nothing: append(nothing, path, checkpoint, kind, by))
     writer = stream.writeStream.format(kind).outputMode("append").option("path", path)
     if by:
         writer = writer.partitionBy(*by)
@@ -72,21 +71,39 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
 def fan_out(targets: Mapping[str, tuple[str, object]]) -> EachBatch:
     """One micro-batch into several places: ``{name: (folder, DataFrame -> DataFrame)}``.
 
-    The batch is read and parsed once. Each target writes to a folder named after the batch id, so a
-    repeated batch replaces its own rows.
+    The batch is read and parsed once. Each target writes to a folder named after the batch id. A folder that
+    was finished is left as it is when the batch is repeated, so a reader never sees a part of it;
+    ``finished`` reads the finished ones.
     """
 
     def each_batch(rows: DataFrame, batch_id: int) -> None:
         rows.persist()
         try:
             for folder, shape in targets.values():
-                shape(rows).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+                to = f"{folder}/batch_id={batch_id}"
+                if not storage.committed(rows.sparkSession, to):
+                    shape(rows).write.mode("overwrite").parquet(to)
         finally:
             rows.unpersist()
 
     return each_batch
 
 
+def finished(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The rows of all finished batches below a folder."""
+    named = [f"{folder}/{name}" for name in storage.folders(spark, folder) if name.startswith("batch_id=")]
+    whole = [path for path in named if storage.committed(spark, path)]
+    return spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)
+
+
+def quarantine(feed: Feed, log: str, aside: str, shape) -> EachBatch:
+    """Two writes per micro-batch of parsed changes: the accepted ones through ``shape``, the others with a reason."""
+    return fan_out({
+        "log": (log, lambda rows: shape(accepted(rows, feed))),
+        "aside": (aside, lambda rows: quarantined(rows, feed)),
+    })
+
+
 def compact_files(
     spark: SparkSession, source: str, target: str, by: Sequence[str] = (), order: Sequence[str] = (),
     target_bytes: int = TARGET_BYTES, schema: T.StructType | None = None,
@@ -129,21 +146,23 @@ def to_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str, eve
 
 
 def merge_batch(name: str, key: Sequence[str], order: Sequence[str]) -> EachBatch:
-    """Upserts and deletes through MERGE. Needs a catalog whose tables support it."""
+    """Upserts through MERGE; a delete stays in the table as a row with its ``op`` and position.
+
+    Only an event that comes after the row's own changes it, so late older events change nothing, also
+    after a delete. Readers leave out the rows whose ``op`` is a delete. Needs a catalog whose tables support it.
+    """
 
     def each_batch(rows: DataFrame, batch_id: int) -> None:
         newest = latest(rows, key, order).alias("s")
         same = F.lit(True)
         for c in key:
-            same = same & (F.col(f"s.{c}") == F.col(f"{name}.{c}"))
-        gone = F.col("s.op") == DELETE
+            same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"{name}.{c}"))
+        later = F.struct(*[F.col(f"s.{c}") for c in order]) > F.struct(*[F.col(f"{name}.{c}") for c in order])
         (
             newest.mergeInto(name, same)
-            .whenMatched(gone)
-            .delete()
-            .whenMatched()
+            .whenMatched(later)
             .updateAll()
-            .whenNotMatched(~gone)
+            .whenNotMatched()
             .insertAll()
             .merge()
         )
