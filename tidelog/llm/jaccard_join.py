@@ -1,8 +1,8 @@
 """Exact Jaccard self-join of word n-gram sets, with a prefix tree.
 
-Sets that are equal are one node. For the others, sets of similar size are cut into as many parts (by key) that two
-linked sets must agree on some part that is not empty in them; equal parts join nodes into blocks, and linked sets
-always meet in a block. In a block the n-grams get one order, the ordered sets are stored in a tree of shared
+Sets that are equal are one node. For the others, sets of similar size are cut into so many parts (by key) that two
+linked sets must agree on a certain number of parts that are not empty in them. Pairs that agree on so many, and the
+nodes of parts that many sets share, are joined into blocks; linked sets always meet in a block. In a block the n-grams get one order, the ordered sets are stored in a tree of shared
 prefixes, and each set walks the tree once: it carries the overlap of the prefix, and leaves a branch when the
 n-grams that remain on either side cannot reach the threshold. Branches that already belong to the walker's
 component are left too, as another link there says nothing new.
@@ -32,8 +32,14 @@ CHUNK_GRAMS = 600_000
 SEEN_SETS = 200_000
 BUCKET_BYTES = 16 << 20
 
-# Parts beyond those that differences can reach.
-SLACK = 2
+# Bits of the filter for the documents whose sets are needed.
+FILTER_BITS = 1 << 24
+
+# Nodes of a key of which all pairs are counted; of more, each is linked to the smallest.
+LARGE = 24
+ALWAYS = 1 << 32
+
+_LOW = np.uint64(0xFF)
 
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -66,31 +72,40 @@ def _bounds(percent: int) -> np.ndarray:
     return np.array(found)
 
 
-def _parts(scheme: int, bounds: np.ndarray, percent: int) -> int:
-    """Number of parts for pairs whose smaller set is in this class."""
-    small = int(bounds[scheme + 1]) - 1
-    large = small * 100 // percent
-    return (small + large) * (100 - percent) // (100 + percent) + 1 + SLACK
+class Scheme:
+    """How sets are cut whose smaller one of a pair is in this size class.
+
+    Linked sets differ in at most ``most`` n-grams, so of ``parts`` parts at least ``parts - most`` are equal. At most
+    ``empty`` of them may be empty in a set that leaves its empty parts out; ``need`` are equal and not left out.
+    """
+
+    def __init__(self, number: int, bounds: np.ndarray, percent: int):
+        small = int(bounds[number + 1]) - 1
+        large = small * 100 // percent
+        most = (small + large) * (100 - percent) // (100 + percent)
+        self.empty = 4 + most // 10
+        self.need = min(1 + most // 12, 255)
+        self.parts = most + self.empty + self.need
 
 
 def signatures(grams: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
-    """Keys of the parts of a set, from the sum of the n-gram keys in each. Linked sets that differ have one in common."""
+    """Keys of the parts of a set, from the sum of the n-gram keys in each. The low byte has the scheme's ``need``."""
     own = int(np.searchsorted(bounds, len(grams), "right")) - 1
     if own < 0:
         return np.zeros(0, np.uint64)
     spread = grams >> np.uint64(32)
     found = []
-    for scheme in (own, own - 1):
-        if scheme < 0:
+    for number in (own, own - 1):
+        if number < 0:
             continue
-        parts = _parts(scheme, bounds, percent)
-        part = ((spread * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-        total = np.zeros(parts, np.uint64)
+        scheme = Scheme(number, bounds, percent)
+        part = ((spread * np.uint64(scheme.parts)) >> np.uint64(32)).astype(np.int64)
+        total = np.zeros(scheme.parts, np.uint64)
         np.add.at(total, part, grams)
-        filled = np.bincount(part, minlength=parts) > 0
-        name = np.arange(parts, dtype=np.uint64) * _A + np.full(parts, scheme, np.uint64) * _B
-        keys = mix(mix(total) + name)
-        found.append(keys[filled] if parts - filled.sum() <= SLACK else keys)
+        filled = np.bincount(part, minlength=scheme.parts) > 0
+        name = np.arange(scheme.parts, dtype=np.uint64) * _A + np.full(scheme.parts, number, np.uint64) * _B
+        keys = (mix(mix(total) + name) & ~_LOW) | np.uint64(scheme.need)
+        found.append(keys[filled] if scheme.parts - filled.sum() <= scheme.empty else keys)
     return np.concatenate(found)
 
 
@@ -108,30 +123,52 @@ def _digest(grams: np.ndarray) -> int:
     return int(signed(mix(total))[0])
 
 
-def _meet(keys: np.ndarray, nodes: np.ndarray):
-    """The smallest node of each key, and links to it from the key's other nodes."""
-    order = np.argsort(keys, kind="stable")
-    keys, nodes = keys[order], nodes[order]
-    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    least = np.minimum.reduceat(nodes, begin) if len(begin) else nodes
-    to = np.repeat(least, np.diff(np.append(begin, len(keys))))
-    apart = nodes != to
-    links = np.unique(np.stack([nodes[apart], to[apart]]), axis=1)
-    return keys[begin], least, links
+def _groups(keys: np.ndarray, nodes: np.ndarray, heavy: np.ndarray):
+    """Keys and nodes in order without repeats, the first place of each key, its nodes, and whether it is heavy."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes, heavy = keys[order], nodes[order], heavy[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    begin = np.flatnonzero(new)
+    marked = np.logical_or.reduceat(heavy, begin) if len(begin) else heavy
+    once = new.copy()
+    once[1:] |= nodes[1:] != nodes[:-1]
+    keys, nodes, new = keys[once], nodes[once], new[once]
+    begin = np.flatnonzero(new)
+    count = np.diff(np.append(begin, len(keys)))
+    return keys, nodes, begin, count, marked | (count > LARGE)
+
 
+def _star(nodes, begin, count, large):
+    """Links of the nodes of large groups to their smallest one."""
+    inside = np.repeat(large, count)
+    least = np.repeat(nodes[begin], count)
+    apart = inside & (nodes != least)
+    return np.unique(np.stack([nodes[apart], least[apart]]), axis=1)
 
-def _rows(bucket, id=None, n=None, node=None, other=None, pairs=None) -> pa.RecordBatch:
+
+def _rows(bucket, id=None, n=None, node=None, other=None, shared=None, need=None, pairs=None, heavy=None):
     size = len(bucket)
-    columns = [(id, pa.int64()), (n, pa.int64()), (node, pa.int64()), (other, pa.int64()), (pairs, pa.binary())]
-    made = [pa.nulls(size, kind) if values is None else pa.array(values, kind) for values, kind in columns]
-    return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", "id", "n", "node", "other", "pairs"])
+    long, binary = pa.int64(), pa.binary()
+    columns = {"id": (id, long), "n": (n, long), "node": (node, long), "other": (other, long), "shared": (shared, long), "need": (need, long), "pairs": (pairs, binary), "heavy": (heavy, binary)}
+    made = [pa.nulls(size, kind) if values is None else pa.array(values, kind) for values, kind in columns.values()]
+    return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", *columns])
+
+
+def _packs(keys: np.ndarray, nodes: np.ndarray, buckets: int):
+    """Bucket numbers, and the keys and nodes of each as bytes."""
+    bucket = ((keys >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    pairs = np.stack([keys[order], nodes[order].view(np.uint64)], axis=1)
+    names, begin = np.unique(bucket[order], return_index=True)
+    return names, [part.tobytes() for part in np.split(pairs, begin[1:])] if len(names) else []
 
 
 def _describe(batches, size: int, percent: int, buckets: int):
     """Size and node of each document, and the part keys of the nodes, packed by bucket of the key.
 
-    A task gives the keys of a node once, and of the nodes that share a key in a batch only the smallest: the others
-    are linked to it here. So a key of many documents is forwarded once for a batch.
+    A task gives the keys of a node once. Where many nodes of a batch share a key, they are linked here and one stands
+    for them; it is marked as heavy, so that all nodes with the key get linked. So no key has many rows.
     """
     seen: set[int] = set()
     limits = _bounds(percent)
@@ -151,36 +188,62 @@ def _describe(batches, size: int, percent: int, buckets: int):
         yield _rows(spread, batch.column(0), n, node)
         if not keys:
             continue
-        key, least, links = _meet(np.concatenate(keys), np.concatenate(owner))
-        yield _rows(links[0] % buckets, node=links[0], other=links[1])
-        bucket = (key % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        pairs = np.stack([key[order], least[order].view(np.uint64)], axis=1)
-        names, begin = np.unique(bucket[order], return_index=True)
-        yield _rows(names, pairs=[part.tobytes() for part in np.split(pairs, begin[1:])])
+        key, owner = np.concatenate(keys), np.concatenate(owner)
+        key, owner, begin, count, large = _groups(key, owner, np.zeros(len(key), bool))
+        star = _star(owner, begin, count, large)
+        many = np.full(star.shape[1], ALWAYS)
+        yield _rows(star[0] % buckets, node=star[0], other=star[1], shared=many, need=np.zeros(len(many), np.int64))
+        few = ~np.repeat(large, count)
+        names, packs = _packs(key[few], owner[few], buckets)
+        yield _rows(names, pairs=packs)
+        names, packs = _packs(key[begin[large]], owner[begin[large]], buckets)
+        yield _rows(names, heavy=packs)
+
+
+def _pairs(keys, nodes, begin, count, large):
+    """Pairs of nodes in the groups that are not large, with the number of keys that they share and need."""
+    found = []
+    for size in range(2, LARGE + 1):
+        at = begin[(count == size) & ~large]
+        if len(at):
+            a, b = np.triu_indices(size, 1)
+            group = nodes[at[:, None] + np.arange(size)]
+            need = np.repeat((keys[at] & _LOW).astype(np.int64), len(a))
+            found.append(np.stack([group[:, b].ravel(), group[:, a].ravel(), need]))
+    if not found:
+        return np.zeros((4, 0), np.int64)
+    pairs, shared = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
+    return np.concatenate([pairs, shared[None, :]])
 
 
 def _link(batches):
     """Links of the nodes that share a key, one bucket after the other; other rows pass."""
 
     def flush():
-        pairs = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2)
-        _, _, links = _meet(pairs[:, 0], pairs[:, 1].view(np.int64))
-        return _rows(np.zeros(links.shape[1], np.int32), node=links[0], other=links[1]).drop_columns(["bucket", "pairs"])
-
-    held, now = [], None
+        light, heavy = (np.frombuffer(b"".join(x), np.uint64).reshape(-1, 2) for x in (held, marked))
+        both = np.concatenate([light, heavy])
+        groups = _groups(both[:, 0], both[:, 1].view(np.int64), np.arange(len(both)) >= len(light))
+        star, pairs = _star(*groups[1:]), _pairs(*groups)
+        for link, shared, need in ((star, np.full(star.shape[1], ALWAYS), np.zeros(star.shape[1], np.int64)), (pairs, pairs[3], pairs[2])):
+            made = _rows(np.zeros(link.shape[1], np.int32), node=link[0], other=link[1], shared=shared, need=need)
+            yield made.drop_columns(["bucket", "pairs", "heavy"])
+
+    held, marked, now = [], [], None
     for batch in batches:
-        packed = batch.column("pairs").is_valid()
-        yield batch.filter(pc.invert(packed)).drop_columns(["bucket", "pairs"])
+        packed = pc.or_(batch.column("pairs").is_valid(), batch.column("heavy").is_valid())
+        yield batch.filter(pc.invert(packed)).drop_columns(["bucket", "pairs", "heavy"])
         packs = batch.filter(packed)
-        for bucket, pairs in zip(packs.column("bucket").to_pylist(), packs.column("pairs")):
-            if bucket != now and held:
-                yield flush()
-                held = []
+        for bucket, pairs, heavy in zip(packs.column("bucket").to_pylist(), packs.column("pairs"), packs.column("heavy")):
+            if bucket != now and (held or marked):
+                yield from flush()
+                held, marked = [], []
             now = bucket
-            held.append(pairs.as_py())
-    if held:
-        yield flush()
+            if pairs.is_valid:
+                held.append(pairs.as_py())
+            else:
+                marked.append(heavy.as_py())
+    if held or marked:
+        yield from flush()
 
 
 def _members(batches, size: int):
@@ -292,8 +355,9 @@ def _ordered(sets: list[np.ndarray]) -> list[list[int]]:
 
 
 def _sets_in(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-    nodes = table.column("node").to_pylist()
-    grams = table.column("grams").combine_chunks()
+    prefix = "" if "node" in table.schema.names else table.schema.names[0][:2]
+    nodes = table.column(f"{prefix}node").to_pylist()
+    grams = table.column(f"{prefix}grams").combine_chunks()
     flat, at = unsigned(grams.flatten().to_numpy(zero_copy_only=False)), grams.offsets.to_numpy()
     return nodes, [flat[a - at[0] : b - at[0]] for a, b in zip(at[:-1], at[1:])]
 
@@ -345,38 +409,56 @@ def _join_rest(rest: pa.Table, chunk: pa.Table, percent: int) -> pa.Table:
 def _solve(sets: DataFrame, percent: int, chunk_grams: int) -> DataFrame:
     """Node and root for all sets of blocks with more than one set."""
     size = F.sum(F.size("grams")).cast("long")
-    heads = materialize(sets.groupBy("block").agg(size.alias("total"), F.min("node").alias("leader")), "blocks")
-    heads = heads.withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk_grams)).cast("int"))
-    dealt = sets.join(heads, "block").withColumn("chunk", F.expr("pmod(xxhash64(node), chunks)").cast("int"))
-    everywhere = (F.col("node") == F.col("leader")) & (F.col("chunks") > 1)
-    at = F.when(everywhere, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-    columns = ["block", "chunk", "node", "leader", "grams"]
-    placed = dealt.withColumn("chunk", F.explode(at)).select(columns)
+    heads = sets.groupBy("block").agg(size.alias("total"), F.min("node").alias("leader"))
+    split = materialize(heads.where(F.col("total") > chunk_grams), "split")
+    split = split.withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk_grams)).cast("int"))
     join = partial(_join_chunk, percent=percent)
     schema = "block long, node long, root long, main boolean"
-    solved = materialize(placed.groupBy("block", "chunk").applyInArrow(lambda t: join(t), schema), "solved")
-    split = heads.where("chunks > 1")
+    whole = sets.join(split.select("block"), "block", "left_anti").withColumn("leader", F.lit(None).cast("long"))
+    few = whole.groupBy("block").applyInArrow(lambda t: join(t), schema).select("node", "root")
     if not split.limit(1).count():
-        return solved.select("node", "root")
-    # Blocks of several chunks: what the leader did not reach meets all chunks, in groups of bounded size.
-    missed = solved.where("not main").join(split.select("block", "chunks"), "block")
-    rest = missed.join(sets.select("node", "grams"), "node").select("block", "chunks", "node", "grams")
-    rest = materialize(rest, "rest")
-    groups = materialize(rest.groupBy("block").agg(F.ceil(size / F.lit(chunk_grams)).cast("int").alias("groups")), "groups")
-    rest = rest.join(groups, "block").withColumn("group", F.expr("pmod(xxhash64(node, 1), groups)").cast("int"))
-    rest = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    whole = dealt.where("chunks > 1").select("block", "chunk", "node", "grams").join(groups, "block")
-    whole = materialize(whole.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))), "whole")
-    met = (
-        rest.select("block", "chunk", "group", "node", "grams")
-        .groupBy("block", "chunk", "group")
-        .cogroup(whole.select("block", "chunk", "group", "node", "grams").groupBy("block", "chunk", "group"))
-        .applyInArrow(lambda a, b: _join_rest(a, b, percent), "node long, root long")
-    )
-    edges = solved.join(split.select("block"), "block", "left_semi").select("node", "root").union(met)
-    many = components(edges, "node", "root")
-    few = solved.join(split.select("block"), "block", "left_anti").select("node", "root")
-    return few.union(many)
+        return few
+    # The leader of a block is in all of its chunks.
+    large = sets.join(split, "block").withColumn("chunk", F.expr("pmod(xxhash64(node), chunks)").cast("int"))
+    everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
+    at = F.when(F.col("node") == F.col("leader"), everywhere).otherwise(F.array("chunk"))
+    placed = large.withColumn("chunk", F.explode(at)).select("block", "chunk", "node", "leader", "grams")
+    solved = materialize(placed.groupBy("block", "chunk").applyInArrow(lambda t: join(t), schema), "solved")
+    # What the leader did not reach meets all chunks, in groups of bounded size.
+    missed = solved.where("not main").select("block", "node").distinct()
+    rest = materialize(missed.join(large.select("node", "chunks", "grams"), "node"), "rest")
+    groups = rest.groupBy("block").agg(F.ceil(size / F.lit(chunk_grams)).cast("int").alias("groups"))
+    groups = materialize(groups, "groups")
+    left = rest.join(groups, "block").withColumn("group", F.expr("pmod(xxhash64(node, 1), groups)").cast("int"))
+    left = left.withColumn("chunk", F.explode(everywhere)).select("block", "chunk", "group", "node", "grams")
+    right = sets.join(split, "block").withColumn("chunk", F.expr("pmod(xxhash64(node), chunks)").cast("int"))
+    right = right.join(groups, "block").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    right = right.select("block", "chunk", "group", "node", "grams")
+    by = ["block", "chunk", "group"]
+    left, right = left.toDF(*(f"l_{c}" for c in left.columns)), right.toDF(*(f"r_{c}" for c in right.columns))
+    met = left.groupBy(*(f"l_{c}" for c in by)).cogroup(right.groupBy(*(f"r_{c}" for c in by)))
+    links = met.applyInArrow(lambda a, b: _join_rest(a, b, percent), "node long, root long")
+    return few.union(components(solved.select("node", "root").union(links), "node", "root"))
+
+
+def _position(column: str):
+    return F.expr(f"pmod(xxhash64({column}), {FILTER_BITS}L)").cast("int")
+
+
+def _filter_table(ids: DataFrame, column: str) -> np.ndarray:
+    """A filter of fixed size that passes all of the ids, and few others unless they are many."""
+    word, bits = F.shiftright("at", 5).alias("word"), F.expr("bit_or(shiftleft(1L, at & 31))").alias("bits")
+    found = ids.select(_position(column).alias("at")).groupBy(word).agg(bits).toArrow()
+    table = np.zeros(FILTER_BITS // 32, np.uint32)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+    return table
+
+
+def _pass(batches, table: np.ndarray):
+    """Rows whose id may be wanted, so that a join moves few texts that it does not want."""
+    for batch in batches:
+        at = batch.column("at").to_numpy()
+        yield batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)).drop_columns(["at"])
 
 
 def jaccard_components(
@@ -397,17 +479,23 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
     describe = partial(_describe, size=size, percent=percent, buckets=buckets)
-    packed = rows.mapInArrow(describe, "bucket int, id long, n long, node long, other long, pairs binary")
+    columns = "id long, n long, node long, other long, shared long, need long"
+    packed = rows.mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
-    found = materialize(met.mapInArrow(_link, "id long, n long, node long, other long"), "sets")
-    described = found.where("other is null").drop("other")
-    links = components(found.where("other is not null"), "node", "other")
+    found = materialize(met.mapInArrow(_link, columns), "sets")
+    described = found.where("other is null").select("id", "n", "node")
+    pairs = found.where("other is not null").groupBy("node", "other")
+    close = pairs.agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need")
+    links = components(close, "node", "other")
     block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
     # One text for each node of a block; the sets are made again from it, as few rows need them.
     stands = described.join(block, "node").groupBy("node", "block").agg(F.min("id").alias("id"))
-    texts = rows.join(stands, "id").select("node", "block", "text")
+    stands = materialize(stands, "stands")
+    placed = rows.where("id is not null").select("id", "text", _position("id").alias("at"))
+    likely = placed.mapInArrow(partial(_pass, table=_filter_table(stands, "id")), "id long, text string")
+    texts = likely.join(stands, "id").select("node", "block", "text")
     made = texts.mapInArrow(partial(_members, size=size), "node long, block long, digest long, grams array<long>")
-    sets = materialize(made.where("digest = node").dropDuplicates(["node"]).drop("digest"), "members")
+    sets = materialize(made.where("digest = node").drop("digest"), "members")
     root = _solve(sets, percent, chunk_grams)
     known = described.select("id", "n", "node")
     named = known.join(root, "node", "left").withColumn("group", F.coalesce("root", "node"))
