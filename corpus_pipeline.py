@@ -29,10 +29,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat an id are one document. Rows without an id cannot be told apart by it, and stay.
     """
-    groups = jaccard_join.jaccard_components(docs, size=5, percent=80)
-    kept = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id"))
-    one = docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionAll(docs.where("doc_id is null"))
+    groups = materialize(jaccard_join.jaccard_components(docs, size=5, percent=80), "groups")
+    # Few ids go, so the texts need not move for them.
+    gone = groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
+    again = groups.groupBy(F.col("id").alias("doc_id")).count().where("doc_id is not null and count > 1").select("doc_id")
+    once = docs.join(materialize(gone.union(again).distinct(), "gone"), "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.join(materialize(again.join(gone, "doc_id", "left_anti"), "again"), "doc_id", "left_semi")
+    return once.unionAll(repeated.dropDuplicates(["doc_id"]).select(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
