@@ -58,4 +58,4 @@ def test_odd_rows(frame, corpus):
     assert M.with_edits(frame(corpus)).count() == len(corpus)
     assert M.with_edits(frame([])).count() == 0
     one = M.with_edits(frame([(4, "alone here")])).first()
-    assert one["near_next"] == 1 and one["edited_sha256"] == hashlib.sha256(b"alone healo").hexdigest()
+    assert one["near_next"] == 1 and one["edited_sha256"] == hashlib.sha256(b"alone halo").hexdigest()

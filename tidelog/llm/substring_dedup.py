@@ -100,7 +100,7 @@ def _cut(batches, buckets: int):
             places = np.empty(int(some.sum()), _PLACE)
             places["key"], places["doc"], places["chunk"] = keys[some], ids[row:end][doc[some]], chunk[some]
             found.append(places)
-        if not found:
+        if not sum(map(len, found)):
             continue
         first, others, seen = _first(np.concatenate(found))
         yield _rows(others["key"] % np.uint64(buckets), others, seen=seen)
