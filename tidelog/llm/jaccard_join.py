@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.words import blocks, lists, mix, signed, spans, unsigned, words_of
+from tidelog.llm.words import blocks, lists, mix, signed, small, spans, unsigned, words_of
 from tidelog.session import materialize
 
 # N-grams of one chunk of a block, set digests that a task remembers, and text for one bucket of part keys.
@@ -172,7 +172,7 @@ def _describe(batches, size: int, percent: int, buckets: int):
     """
     seen: set[int] = set()
     limits = _bounds(percent)
-    for batch in batches:
+    for batch in small(batches):
         n, node, keys, owner = [], [], [], []
         for grams in _sets(batch.column(1), size):
             n.append(len(grams))
@@ -248,7 +248,7 @@ def _link(batches):
 
 def _members(batches, size: int):
     """Sets of the documents that stand for their nodes."""
-    for batch in batches:
+    for batch in small(batches):
         kept = list(_sets(batch.column(2), size))
         yield pa.record_batch(
             [batch.column(0), batch.column(1), pa.array([_digest(g) for g in kept], pa.int64()), lists([signed(g) for g in kept])],

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm.words import small
+
 UNKNOWN = "und"
 
 # Cost of a change of language, in natural logarithms.
@@ -129,10 +131,10 @@ class Reader:
         return (cell % np.uint64(CELLS)).astype(np.int64), owner
 
 
-def _slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20):
+def _slices(column: pa.Array, most: int = 1 << 19):
     """Runs of rows with about ``most`` characters of text."""
     texts, size, row = [], 0, 0
-    for i, text in enumerate(batch.column(column)):
+    for i, text in enumerate(column):
         texts.append(text.as_py())
         size += len(texts[-1] or "")
         if size >= most:
@@ -148,9 +150,9 @@ def _count(batches, languages: list[str]):
     number = {name: i for i, name in enumerate(languages)}
     scripts = len(reader.script_names)
     total = np.zeros((len(languages), CELLS + scripts), np.int64)
-    for batch in batches:
+    for batch in small(batches):
         names = batch.column(0).to_pylist()
-        for row, texts in _slices(batch, 1):
+        for row, texts in _slices(batch.column(1)):
             flat, begin, word, doc, length = reader.words(texts)
             if not len(begin):
                 continue
@@ -234,13 +236,15 @@ def viterbi(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return label
 
 
-def _label(batches, model, switch: float):
+def _label(batches, model, switch: float, place: int):
     reader = Reader()
     languages = np.array([*model.languages, UNKNOWN], object)
     states = len(model.languages)
-    for batch in batches:
+    for batch in small(batches):
         names, scores, spans = [], [], []
-        for _, texts in _slices(batch, 1):
+        column = batch.column(0).field(place)
+        column = column if pa.types.is_string(column.type) else column.cast(pa.string())
+        for _, texts in _slices(column):
             flat, begin, word, doc, length = reader.words(texts)
             docs = len(texts)
             if not len(begin):
@@ -294,13 +298,13 @@ def identify(
     for them. Null texts, texts without letters and any text without a model are ``und`` with score 0 and no spans.
     Repeated rows and null ids are rows like others, and columns of any name pass in ``row``.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     spans = "array<struct<start_word: long, n_words: long, lang: string>>"
     if model is None:
         none = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.expr(f"cast(array() as {spans})").alias("spans")]
         return rows.select("row", *none)
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang_pred string, score double, spans {spans}")])
-    return rows.mapInArrow(partial(_label, model=model, switch=switch), schema)
+    return rows.mapInArrow(partial(_label, model=model, switch=switch, place=docs.columns.index(text_col)), schema)
 
 
 def held_out(id_col: str, of: int = 4, remainder: int = 2) -> Column:

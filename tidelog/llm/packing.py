@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.tokens import ByteBpe
+from tidelog.llm.words import small
 from tidelog.session import materialize
 
 LIMIT = 1024
@@ -43,7 +44,7 @@ def cut(size: int, limit: int) -> list[tuple[int, int]]:
 def _tokenize(batches, tokenizer: str, limit: int):
     bpe = ByteBpe(tokenizer)
     end = np.array([END_ID], "<u4").tobytes()
-    for batch in batches:
+    for batch in small(batches):
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             ids = bpe.encode(text.as_py()) + end

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.words import blocks, mix, words_of
+from tidelog.llm.words import blocks, mix, small, words_of
 from tidelog.session import materialize
 
 # Repeated words in a row that make a passage, and the longest chunk.
@@ -87,7 +87,7 @@ def _rows(bucket, places=None, packs=None, seen=None) -> pa.RecordBatch:
 
 
 def _cut(batches, buckets: int):
-    for batch in batches:
+    for batch in small(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         found = []
         for row, end, offsets, raw in blocks(batch.column(1)):
@@ -132,7 +132,7 @@ def _compare(batches):
 
 def _passages(batches, min_words: int):
     """The repeated runs of each text, and the text without them."""
-    for batch in batches:
+    for batch in small(batches):
         spans, texts = [], []
         repeats = batch.column("repeats").to_pylist()
         for row, end, offsets, raw in blocks(batch.column("text")):

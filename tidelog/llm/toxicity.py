@@ -18,7 +18,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.words import blocks, cores, mix, signed, small_letters, unsigned, word_keys, words_of
+from tidelog.llm.words import blocks, cores, mix, signed, small, small_letters, unsigned, word_keys, words_of
 from tidelog.session import materialize
 
 # Labelled rows that the model is fitted on (about; chosen by hash over all), and entries of its lexicon.
@@ -163,7 +163,7 @@ def _block_features(offsets, raw, lexicon: np.ndarray, weights: np.ndarray) -> n
 
 def _features(batches, lexicon: np.ndarray, weights: np.ndarray):
     """The features of each text, after its other columns."""
-    for batch in batches:
+    for batch in small(batches):
         parts = [_block_features(at, raw, lexicon, weights) for _, _, at, raw in blocks(batch.column("text"))]
         made = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
         flat = pa.FixedSizeListArray.from_arrays(pa.array(made.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))

@@ -96,6 +96,14 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int,
         row = end
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that what is made of one is small; freed memory goes back in between."""
+    for batch in batches:
+        for row in range(0, batch.num_rows, rows):
+            yield batch.slice(row, rows)
+            pa.default_memory_pool().release_unused()
+
+
 def words_of(offsets: np.ndarray, raw: np.ndarray, lower: bool = True, keys: bool = True) -> Words:
     """Words of a block; ``lower`` turns A-Z to a-z before keys are made."""
     docs = len(offsets) - 1
