@@ -81,3 +81,16 @@ def test_odd_rows(frame, corpus):
     assert S.find_passages(frame([])).count() == 0
     texts = {r["row"]["doc_id"]: r["text"] for r in S.cut_passages(frame([(1, None), (2, ""), (3, "only ä few")])).collect()}
     assert texts == {1: "", 2: "", 3: "only ä few"}
+
+
+def test_one_of_equal_rows_keeps_its_text_and_no_other_text_loses_words(frame):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(900)}" for _ in range(120))
+    same_id, no_id, first, clean, other = text(), text(), text(), text(), text()
+    rows = [(5, same_id)] * 3 + [(None, no_id)] * 3 + [(None, clean), (8, first), (8, other), (9, first)]
+    made = [(r["row"]["doc_id"], r["row"]["text"], r["text"].strip()) for r in S.cut_passages(frame(rows)).collect()]
+    kept = lambda d, t: sorted(after for i, before, after in made if (i, before) == (d, t))
+    assert kept(5, same_id) == ["", "", same_id]
+    assert kept(None, no_id) == ["", "", no_id]
+    assert kept(None, clean) == [clean] and kept(8, other) == [other] and kept(8, first) == [first]
+    assert kept(9, first) == [""]

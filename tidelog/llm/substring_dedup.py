@@ -3,8 +3,8 @@
 A gear hash rolls over the words of a text (shift by one bit, add the word's key); a chunk ends where two bits of it
 are zero. Those bits depend on the last four words only, so an insertion moves the bounds near it and no others. The
 digest of a chunk and of the one before it is its key: equal keys are equal passages of about eight words. Of each
-key the first place (by id, then position) stays; a passage is reported where repeated chunks in a row reach
-``min_words`` words. With that at 16, a passage of more than 50 words is missed less than once in a hundred times,
+key the first place (by id, row, then position) stays; a passage is reported where repeated chunks in a row reach
+``min_words`` words. Rows are told apart by a number that they get once, so repeated and null ids are rows like others. With that at 16, a passage of more than 50 words is missed less than once in a hundred times,
 as chunk bounds inside it are random but the same in every copy.
 
 A task sends each key once for a batch, with its first place there, so a passage that a third of the documents share
@@ -33,7 +33,8 @@ MOST_WORDS = 64
 BUCKET_BYTES = 32 << 20
 
 _A = np.uint64(0xA24BAED4963EE407)
-_PLACE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("chunk", "<i4")])
+# Rows with one id are in the order of a digest of their texts, and equal ones in that of their numbers.
+_PLACE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("digest", "<i4"), ("at", "<i8"), ("chunk", "<i4")])
 
 
 def chunk_starts(key: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def chunk_keys(key: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 def _first(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The first place of each key, the other places, and the document of the first for each of those."""
-    places = places[np.lexsort((places["chunk"], places["doc"], places["key"]))]
+    places = places[np.lexsort([places[c] for c in ("chunk", "at", "digest", "doc", "key")])]
     new = np.ones(len(places), bool)
     new[1:] = places["key"][1:] != places["key"][:-1]
     begin = np.flatnonzero(new)
@@ -78,19 +79,20 @@ def _first(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rows(bucket, places=None, packs=None, seen=None) -> pa.RecordBatch:
-    doc = pa.nulls(len(bucket), pa.int64()) if places is None else pa.array(places["doc"])
+    at = pa.nulls(len(bucket), pa.int64()) if places is None else pa.array(places["at"])
     chunk = pa.nulls(len(bucket), pa.int32()) if places is None else pa.array(places["chunk"])
     seen = pa.nulls(len(bucket), pa.int64()) if seen is None else pa.array(seen)
     packs = pa.nulls(len(bucket), pa.binary()) if packs is None else pa.array(packs, pa.binary())
-    names = ["bucket", "doc", "chunk", "seen_in", "packs"]
-    return pa.record_batch([pa.array(bucket, pa.int32()), doc, chunk, seen, packs], names)
+    names = ["bucket", "at", "chunk", "seen_in", "packs"]
+    return pa.record_batch([pa.array(bucket, pa.int32()), at, chunk, seen, packs], names)
 
 
 def _cut(batches, buckets: int):
     for batch in small(batches):
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        names = {"doc": "key", "digest": "digest", "at": "at"}
+        known = {c: batch.column(name).to_numpy(zero_copy_only=False) for c, name in names.items()}
         found = []
-        for row, end, offsets, raw in blocks(batch.column(1)):
+        for row, end, offsets, raw in blocks(batch.column("text")):
             words = words_of(offsets, raw)
             start = chunk_starts(words.key, words.first)
             keys = chunk_keys(words.key, start)
@@ -98,7 +100,9 @@ def _cut(batches, buckets: int):
             chunk = np.arange(len(start)) - np.searchsorted(doc, doc)
             some = chunk > 0  # the first chunk of a text has none before it
             places = np.empty(int(some.sum()), _PLACE)
-            places["key"], places["doc"], places["chunk"] = keys[some], ids[row:end][doc[some]], chunk[some]
+            places["key"], places["chunk"] = keys[some], chunk[some]
+            for c, values in known.items():
+                places[c] = values[row:end][doc[some]]
             found.append(places)
         if not sum(map(len, found)):
             continue
@@ -182,32 +186,34 @@ def _runs(repeats, start, words, doc, min_words):
 _SPANS = "array<struct<start_word: long, n_words: long, seen_in: long>>"
 
 
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row, at, key, digest, text``: the rows with a number for each, written once so that later passes see the same."""
+    rows = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "rows")
+    key = F.coalesce(F.col("row").getField(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
+    text = F.col("row").getField(text_col).cast("string")
+    return rows.select("row", "at", key.alias("key"), F.hash(text).alias("digest"), text.alias("text"))
+
+
 def _repeats(rows: DataFrame) -> DataFrame:
-    """Chunks of each document that occur at an earlier place, in a list for each document."""
+    """Chunks of each row that occur at an earlier place, in a list for each row."""
     buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
-    schema = "bucket int, doc long, chunk int, seen_in long, packs binary"
-    packed = rows.select("key", "text").mapInArrow(partial(_cut, buckets=buckets), schema)
+    schema = "bucket int, at long, chunk int, seen_in long, packs binary"
+    packed = rows.select("at", "key", "digest", "text").mapInArrow(partial(_cut, buckets=buckets), schema)
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
-    repeats = met.mapInArrow(_compare, "doc long, chunk int, seen_in long")
-    listed = repeats.groupBy("doc").agg(F.collect_set(F.struct("chunk", "seen_in")).alias("repeats"))
+    repeats = met.mapInArrow(_compare, "at long, chunk int, seen_in long")
+    listed = repeats.groupBy("at").agg(F.collect_set(F.struct("chunk", "seen_in")).alias("repeats"))
     return materialize(listed, "repeats")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
-    return docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text"))
-
-
 def find_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, start_word, n_words, seen_in``: the passages that an earlier document, or earlier text, has.
 
     Earlier is by id, then position; ``seen_in`` is a document with an earlier copy of the end of the passage. Null,
-    empty and short texts have no passages. Rows with one id count as one document's copies and do not repeat each
-    other where their texts agree; a null id is the first of all. Other columns are not looked at.
+    empty and short texts have no passages. Rows with one id are documents of their own, one after the other, so the
+    first of equal ones has no passages for it; a null id is before all others. Other columns are not looked at.
     """
-    rows = _keyed(docs, id_col, text_col)
-    listed = _repeats(rows).withColumnRenamed("doc", "key")
-    joined = rows.join(listed, "key").select(F.col("key").alias("row"), "text", "repeats")
+    rows = _numbered(docs.select(id_col, text_col), id_col, text_col)
+    joined = rows.select("at", "key", "text").join(_repeats(rows), "at").select(F.col("key").alias("row"), "text", "repeats")
     found = joined.mapInArrow(partial(_passages, min_words=min_words), f"row long, passages {_SPANS}, text string")
     item = found.select("row", F.explode("passages").alias("p")).select("row", "p.*")
     null = F.lit(None).cast("long")
@@ -220,10 +226,8 @@ def cut_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
 
     What repeats is told as in ``find_passages``. Null texts come back empty.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
-    rows = docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
-    listed = _repeats(rows).withColumnRenamed("doc", "key")
-    joined = rows.join(listed, "key", "left").select("row", "text", "repeats")
+    rows = _numbered(docs, id_col, text_col)
+    joined = rows.join(_repeats(rows), "at", "left").select("row", "text", "repeats")
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(f"passages {_SPANS}, text string")])
     found = joined.mapInArrow(partial(_passages, min_words=min_words), schema)
     return found.select("row", "text", F.size("passages").alias("n_passages"))
