@@ -40,3 +40,21 @@ def test_odd_rows(frame, corpus):
     found = leaks(frame, corpus, items)
     assert (0, 1) in found
     assert leaks(frame, [], items) == {} and leaks(frame, corpus, []) == {}
+
+
+def many(n, start=0):
+    """Words that occur once, without numbers and names."""
+    return [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(start, start + n)]
+
+
+def test_inserted_words_and_longer_names_part_no_alignment(frame):
+    item = many(20)
+    put = item[:7] + ["really"] + item[7:14] + ["very"] + item[14:]
+    named = "the farmer called Anna went out to the field and then told Bert that rain would come before dark"
+    longer = named.replace("Anna", "Clara Maria").replace("Bert", "Dora Lena Ruth")
+    half = " ".join(many(38)[:19] + ["new"] + many(38)[19:])
+    docs = [(1, " ".join(item[:10] + ["x"] + item[10:])), (2, f"{FILLER} {longer} {FILLER}"), (3, half), (4, " ".join(put))]
+    items = [(1, " ".join(item[:15])), (2, named), (3, " ".join(many(38))), (4, " ".join(item))]
+    found = leaks(frame, docs, items)
+    assert {(1, 4), (2, 2), (3, 3)} <= set(found)
+    assert found[3, 3]["share"] > 0.7 and found[2, 2]["share"] > 0.9

@@ -1,13 +1,14 @@
 """Benchmark questions in documents, also re-parameterised ones, by windows of a typed template.
 
 Numbers, names and units become placeholders of their type, the other words stay (lower case, without punctuation at
-their ends). Windows of the template are joined by hash. The windows of a document and an item that agree and lie
-at the same distance belong to one alignment; its slots must be consistent: each value of the item stands for one value
-of the document and the other way round. An alignment that holds enough of the item's windows is a leak.
+their ends). Windows of the template are joined by hash. The windows of a document and an item that agree are chained
+in the order of both, so words put in or left out part an alignment no more than its distance changes by the length of
+the item. Each value of the item stands for one value of the document and the other way round. An alignment that holds enough of
+the item's windows is a leak.
 
 * number: begins with a digit, after a sign or currency if any;
 * unit: a word of ``UNITS`` right after a number;
-* name: a capital and small letters, not at the start of a text, line or sentence.
+* name: a capital and small letters, not at the start of a text, line or sentence; names in a row are one.
 
 A window needs at least half literal words. Items shorter than a window are one window of their own length.
 """
@@ -50,15 +51,17 @@ def _keys_of(words: list[str]) -> np.ndarray:
 _UNIT_KEYS = np.sort(_keys_of(UNITS))
 
 
-def template(offsets: np.ndarray, raw: np.ndarray):
-    """Words of a block as template keys and kinds, with the bounds of their cores; words of punctuation are left out."""
+def template(offsets: np.ndarray, raw: np.ndarray, opening: bool = False):
+    """Words of a block as template keys, kinds and own keys, with the bounds of their cores; words of punctuation are left out.
+
+    ``opening`` takes capital words that open a sentence as names.
+    """
     words = words_of(offsets, raw, keys=False)
     size = len(raw)
     if not len(words.start):
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none, np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), none, np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64)
     start, end, doc = cores(raw, words)
-    first = np.searchsorted(doc, np.arange(len(offsets)))
     data = small_letters(raw)
     key = word_keys(data, start, end)
     changed = data != raw
@@ -72,68 +75,87 @@ def template(offsets: np.ndarray, raw: np.ndarray):
     # Words of capitals are no names: the second letter of a name is a small one.
     second = np.minimum(start + 1 + wide[start], size - 1)
     lowered = (end > second) & ~changed[second] & ~(wide[second] & changed[np.minimum(second + 1, size - 1)])
-    kind = np.where(digit, NUMBER, np.where(capital & lowered & ~opens, NAME, _LITERAL))
+    kind = np.where(digit, NUMBER, np.where(capital & lowered & (opening | ~opens), NAME, _LITERAL))
     after = np.zeros(len(start), bool)
     after[1:] = digit[:-1] & (doc[1:] == doc[:-1])
     found = np.searchsorted(_UNIT_KEYS, key)
     unit = after & (_UNIT_KEYS[np.minimum(found, len(_UNIT_KEYS) - 1)] == key)
     kind = np.where(unit & (kind == _LITERAL), UNIT, kind)
-    key = np.where(kind == _LITERAL, key, kind.astype(np.uint64))
-    return key, kind, start, end, first
+    # Names with nothing but white space between them are one.
+    white = np.cumsum(np.concatenate([[0], np.isin(raw, np.frombuffer(b" \t\n\v\f\r", np.uint8))]))
+    lead = np.ones(len(start), bool)
+    follows = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:]
+    lead[1:] = ~(follows & (white[start[1:]] - white[end[:-1]] == start[1:] - end[:-1]))
+    head = np.flatnonzero(lead)
+    own = np.add.reduceat(mix(key + np.arange(len(key), dtype=np.uint64) - np.repeat(head, np.diff(np.append(head, len(key)))).astype(np.uint64)), head) if len(head) else key
+    end = end[np.append(head[1:], len(start)) - 1] if len(head) else end
+    key, kind, start, doc = key[head], kind[head], start[head], doc[head]
+    first = np.searchsorted(doc, np.arange(len(offsets)))
+    return np.where(kind == _LITERAL, key, kind.astype(np.uint64)), kind, own, start, end, first
 
 
-def windows(key: np.ndarray, kind: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words and keys of the windows of ``size`` words that have enough literal words."""
+def windows(key: np.ndarray, kind: np.ndarray, own: np.ndarray, first: np.ndarray, size: int):
+    """First words and keys of the windows of ``size`` words, and which have too few literal words and go by their own."""
     if len(key) < size:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(doc[size - 1 :] == doc[: len(doc) - size + 1])
     literal = np.cumsum(np.concatenate([[0], kind == _LITERAL]))
     at = at[2 * (literal[at + size] - literal[at]) >= size]
-    total = np.full(len(at), size, np.uint64)
+    dense = np.zeros(len(at), bool)
+    total = np.where(dense, np.uint64(size + (1 << 20)), np.uint64(size))
     power = np.cumprod(np.full(size, _A, np.uint64))
+    typed, plain = mix(key), mix(own)
     for i in range(size):
-        total += mix(key[at + i]) * power[i]
-    return at, mix(total)
+        total += np.where(dense, plain[at + i], typed[at + i]) * power[i]
+    return at, mix(total), dense
 
 
 def _slots(raw, kind, start, end, at: int, size: int) -> list[str]:
-    """Type and value of each placeholder of a window."""
+    """Place in the window, type and value of each placeholder of a window."""
     held = [i for i in range(at, at + size) if kind[i] != _LITERAL]
-    return [f"{kind[i]}:{raw[start[i] : end[i]].tobytes().decode(errors='replace').lower()}" for i in held]
+    return [f"{i - at}:{kind[i]}:{raw[start[i] : end[i]].tobytes().decode(errors='replace').lower()}" for i in held]
+
 
+def _way(keys: np.ndarray, opening: bool) -> np.ndarray:
+    """Keys of the two ways to take a text never meet."""
+    return (keys << np.uint64(1)) | np.uint64(opening)
 
-_FOUND = "id long, key long, place int, size int, total int, slots array<string>"
+
+_FOUND = "id long, digest long, key long, place int, size int, dense boolean, typed int, total int, slots array<string>"
 
 
 def _batch(rows) -> pa.RecordBatch:
-    ids, keys, places, sizes, totals, slots = zip(*rows) if rows else ((),) * 6
+    ids, digests, keys, places, sizes, dense, typed, totals, slots = zip(*rows) if rows else ((),) * 9
     return pa.record_batch(
         [
-            pa.array(ids, pa.int64()),
-            pa.array(keys, pa.int64()),
-            *(pa.array(x, pa.int32()) for x in (places, sizes, totals)),
+            *(pa.array(x, pa.int64()) for x in (ids, digests, keys)),
+            *(pa.array(x, pa.int32()) for x in (places, sizes)),
+            pa.array(dense, pa.bool_()),
+            *(pa.array(x, pa.int32()) for x in (typed, totals)),
             pa.array(slots, pa.list_(pa.string())),
         ],
-        ["id", "key", "place", "size", "total", "slots"],
+        ["id", "digest", "key", "place", "size", "dense", "typed", "total", "slots"],
     )
 
 
 def _item_windows(batches, size: int):
-    """All windows of each item, with the number of its windows."""
+    """All windows of each item, with the number of its windows and that of typed ones."""
     for batch in batches:
         ids, rows = batch.column(0).to_pylist(), []
         for row, last, offsets, raw in blocks(batch.column(1)):
-            key, kind, start, end, first = template(offsets, raw)
-            for d in range(last - row):
-                a, b = int(first[d]), int(first[d + 1])
-                own = min(size, b - a)
-                if not own:
-                    continue
-                at, keys = windows(key[a:b], kind[a:b], np.array([0, b - a]), own)
-                for place, value in zip(at.tolist(), signed(keys).tolist()):
-                    slots = _slots(raw, kind, start, end, a + place, own)
-                    rows.append((ids[row + d], value, place, own, len(at), slots))
+            for opening in (False,):
+                key, kind, plain, start, end, first = template(offsets, raw, opening)
+                for d in range(last - row):
+                    a, b = int(first[d]), int(first[d + 1])
+                    own = min(size, b - a)
+                    if not own:
+                        continue
+                    at, keys, dense = windows(key[a:b], kind[a:b], plain[a:b], np.array([0, b - a]), own)
+                    typed = int(len(at) - dense.sum())
+                    for place, value, thick in zip(at.tolist(), signed(_way(keys, opening)).tolist(), dense.tolist()):
+                        slots = _slots(raw, kind, start, end, a + place, own)
+                        rows.append((ids[row + d], 0, value, place, own, thick, typed, len(at), slots))
         yield _batch(rows)
 
 
@@ -141,22 +163,87 @@ def _document_windows(batches, sizes: list[int], bits: bytes):
     """Windows of documents that pass the filter."""
     bitmap = np.frombuffer(bits, np.uint8)
     for batch in batches:
-        ids = batch.column(0).to_pylist()
+        ids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for row, _, offsets, raw in blocks(batch.column(1), BLOCK_BYTES // 2):
-            key, kind, start, end, first = template(offsets, raw)
             rows = []
-            for size in sizes:
-                at, keys = windows(key, kind, first, size)
-                bit = (keys % np.uint64(FILTER_BITS)).astype(np.int64)
-                some = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                doc = np.searchsorted(first, at[some], "right") - 1
-                for place, value, d in zip(at[some].tolist(), signed(keys[some]).tolist(), doc.tolist()):
-                    slots = _slots(raw, kind, start, end, place, size)
-                    rows.append((ids[row + d], value, place - int(first[d]), size, 0, slots))
+            for opening in (False,):
+                key, kind, plain, start, end, first = template(offsets, raw, opening)
+                for size in sizes:
+                    at, keys, dense = windows(key, kind, plain, first, size)
+                    keys = _way(keys, opening)
+                    bit = (keys % np.uint64(FILTER_BITS)).astype(np.int64)
+                    some = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                    doc = np.searchsorted(first, at[some], "right") - 1
+                    for place, value, thick, d in zip(at[some].tolist(), signed(keys[some]).tolist(), dense[some].tolist(), doc.tolist()):
+                        slots = _slots(raw, kind, start, end, place, size)
+                        rows.append((ids[row + d], digests[row + d], value, place - int(first[d]), size, thick, 0, 0, slots))
             if rows:
                 yield _batch(rows)
 
 
+def chain(place: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
+    """Matches of the best chain: both places go up, the distance changes by ``reach`` at most, and seldom."""
+    order = np.lexsort((at, place))
+    place, at = place[order].astype(np.int64), at[order].astype(np.int64)
+    shift = place - at
+    span = int(at.max()) + reach
+    score, back = np.ones(len(at)), np.full(len(at), -1)
+    low = np.searchsorted(place, place - span)
+    for i in range(1, len(at)):
+        a = int(low[i])
+        part = slice(a, i)
+        move = np.abs(shift[part] - shift[i])
+        able = (place[part] < place[i]) & (at[part] < at[i]) & (move <= reach)
+        gain = np.where(able, score[part] - 0.5 * (move > 0), -1.0)
+        if len(gain) and gain.max() > 0:
+            best = int(gain.argmax())
+            score[i], back[i] = gain[best] + 1, a + best
+    found, i = [], int(score.argmax())
+    while i >= 0:
+        found.append(order[i])
+        i = int(back[i])
+    return np.array(found)
+
+
+def _consistent(matches: list) -> tuple[list, bool]:
+    """The matches if their slots agree, and whether no value differs at all."""
+    partners: dict[str, set] = {}
+    same = True
+    for m in matches:
+        for a, b in zip(m["slots"], m["own"]):
+            (where, value), other = a.split(":", 1), b.split(":", 1)[1]
+            partners.setdefault(value, set()).add((m["at"] + int(where), other))
+            same &= value == other
+    values = [b for seen in partners.values() for b in {b for _, b in seen}]
+    return (matches if len(values) == len(set(values)) == len(partners) else []), same
+
+
+def _judge(batches, least_share: float):
+    """The best alignment of each document and item, if it has enough windows."""
+    names = ["id", "item", "share", "n_windows", "same_slots"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_()]
+    for batch in batches:
+        rows = []
+        for line in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+            by_shift: dict[int, list] = {}
+            for m in line["matches"]:
+                by_shift.setdefault(m["place"] - m["at"], []).append(m)
+            tried = list(by_shift.values())
+            if len(tried) > 1:
+                place, at = (np.array([m[c] for m in line["matches"]]) for c in ("place", "at"))
+                tried.append([line["matches"][i] for i in chain(place, at, line["total"] + line["size"])])
+            made = []
+            for matches in tried:
+                kept, same = _consistent(matches)
+                typed = sum(not m["dense"] for m in kept)
+                share = max(len(kept) / line["total"], typed / max(line["typed"], 1))
+                made.append((share, len(kept), same))
+            if max(made)[0] >= least_share:
+                rows.append((line["id"], line["item"], *max(made)))
+        columns = zip(*rows) if rows else ((),) * 5
+        yield pa.record_batch([pa.array(x, kind) for x, kind in zip(columns, kinds)], names)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -169,36 +256,38 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, share, n_windows, same_slots`` for each leak, one row for a document and an item.
 
-    ``share`` is the part of the item's windows in the best consistent alignment, ``n_windows`` their number, and
-    ``same_slots`` tells a copy from a re-parameterised question. Items with equal text are all reported. Null and
+    ``share`` is the part of the item's windows in the best consistent alignment (of all, or of the typed ones, whichever
+    is more), ``n_windows`` their number, and ``same_slots`` tells a copy from a re-parameterised question. Items with equal text are all reported. Null and
     empty texts have no windows, on either side. Repeated rows of a document or an item count once. Rows with a null
-    id are reported with a null id as one document or item. Other columns are not looked at.
+    or repeated id are judged text by text and reported under it once. Other columns are not looked at.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    one = items.groupBy("text").agg(F.min("id").alias("id")).select("id", "text")
-    made = materialize(one.mapInArrow(partial(_item_windows, size=window), _FOUND), "items").distinct()
+    items = items.where("text is not null").withColumn("item", F.xxhash64("text"))
+    one = items.groupBy("text").agg(F.min("item").alias("item")).select("item", "text")
+    made = materialize(one.mapInArrow(partial(_item_windows, size=window), _FOUND), "items")
     # Both are bounded: sizes by the window, bits by the size of the filter.
     sizes = sorted(r[0] for r in made.select("size").distinct().collect())
     bit = F.expr(f"pmod(key, {FILTER_BITS})").cast("int")
     bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
     some = np.array([r[0] for r in made.select(bit).distinct().toLocalIterator()], np.int64)
     np.bitwise_or.at(bitmap, some >> 3, (1 << (some & 7)).astype(np.uint8))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     seek = partial(_document_windows, sizes=sizes, bits=bitmap.tobytes())
-    met = rows.mapInArrow(seek, _FOUND).select("id", "key", "place", "size", F.col("slots").alias("own"))
-    item = made.select(F.col("id").alias("item"), "key", F.col("place").alias("at"), "size", "total", "slots")
-    pairs = met.join(item, ["key", "size"]).withColumn("shift", F.col("place") - F.col("at"))
-    slots = F.expr("transform(slots, (s, i) -> struct(s as a, own[i] as b))")
-    aligned = pairs.groupBy("id", "item", "shift").agg(
-        F.count_distinct("at").alias("n_windows"),
-        F.max("total").alias("total"),
-        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+    met = rows.mapInArrow(seek, _FOUND).select("id", "digest", "key", "place", "size", F.col("slots").alias("own"))
+    item = made.select(F.col("id").alias("item"), "key", F.col("place").alias("at"), "size", "dense", "typed", "total", "slots")
+    pairs = met.join(item, ["key", "size"]).withColumn("way", F.expr("key & 1"))
+    aligned = pairs.groupBy("id", "digest", "item", "way").agg(
+        F.collect_set(F.struct("place", "at", "dense", "own", "slots")).alias("matches"),
+        F.count_distinct("at").alias("n"),
+        *(F.max(c).alias(c) for c in ("size", "typed", "total")),
     )
-    values = [F.size(F.array_distinct(F.expr(f"transform(slots, s -> s.{side})"))) for side in "ab"]
-    consistent = (values[0] == F.size("slots")) & (values[1] == F.size("slots"))
-    share = F.col("n_windows") / F.col("total")
-    same = F.expr("forall(slots, s -> s.a = s.b)").alias("same_slots")
-    good = aligned.where(consistent & (share >= least_share)).select("id", "item", share.alias("share"), "n_windows", same)
+    # No alignment has more windows than all of them.
+    enough = F.col("n") >= least_share * F.when(F.col("typed") > 0, F.col("typed")).otherwise(F.col("total"))
+    judge = partial(_judge, least_share=least_share)
+    columns = "id long, item long, share double, n_windows long, same_slots boolean"
+    good = aligned.where(enough).select("id", "item", "size", "typed", "total", "matches").mapInArrow(judge, columns)
     best = good.groupBy("id", "item").agg(F.max(F.struct("share", "n_windows", "same_slots")).alias("b"))
-    text = items.join(one.withColumnRenamed("id", "item"), "text").select("item", F.col("id").alias("item_id")).distinct()
-    return best.join(text, best["item"].eqNullSafe(text["item"])).select(F.col("id").alias("doc_id"), "item_id", "b.*")
+    named = items.select("item", F.col("id").alias("item_id")).distinct()
+    leaks = best.join(named, "item").groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max("b").alias("b"))
+    return leaks.select("doc_id", "item_id", "b.*")
