@@ -58,3 +58,14 @@ def test_inserted_words_and_longer_names_part_no_alignment(frame):
     found = leaks(frame, docs, items)
     assert {(1, 4), (2, 2), (3, 3)} <= set(found)
     assert found[3, 3]["share"] > 0.7 and found[2, 2]["share"] > 0.9
+
+
+def test_one_altered_number_and_merged_values_are_still_found(frame):
+    text = many(60)
+    text[10] = text[40] = "12"
+    altered = text[:40] + ["13"] + text[41:]
+    merged = "she put 3 red stones and then 5 blue ones in the old box under the bed"
+    docs = [(1, " ".join(altered)), (2, merged.replace("3", "4").replace("5", "4"))]
+    found = leaks(frame, docs, [(1, " ".join(text)), (2, merged)])
+    assert set(found) == {(1, 1), (2, 2)}
+    assert 0.6 < found[1, 1]["share"] < 1 and not found[1, 1]["same_slots"]

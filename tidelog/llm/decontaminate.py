@@ -3,8 +3,9 @@
 Numbers, names and units become placeholders of their type, the other words stay (lower case, without punctuation at
 their ends). Windows of the template are joined by hash. The windows of a document and an item that agree are chained
 in the order of both, so words put in or left out part an alignment no more than its distance changes by the length of
-the item. Each value of the item stands for one value of the document and the other way round. An alignment that holds enough of
-the item's windows is a leak.
+the item. Each value of the item stands for one value of the document: where its places disagree, that of most places
+holds and windows with another are left out, or all its windows if none has most. An alignment that holds enough of the
+item's windows is a leak.
 
 * number: begins with a digit, after a sign or currency if any;
 * unit: a word of ``UNITS`` right after a number;
@@ -15,6 +16,7 @@ A window needs at least half literal words. Items shorter than a window are one
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -206,7 +208,7 @@ def chain(place: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
 
 
 def _consistent(matches: list) -> tuple[list, bool]:
-    """The matches if their slots agree, and whether no value differs at all."""
+    """The matches of which all slots hold the value that stands for the item's, and whether no value differs at all."""
     partners: dict[str, set] = {}
     same = True
     for m in matches:
@@ -214,8 +216,12 @@ def _consistent(matches: list) -> tuple[list, bool]:
             (where, value), other = a.split(":", 1), b.split(":", 1)[1]
             partners.setdefault(value, set()).add((m["at"] + int(where), other))
             same &= value == other
-    values = [b for seen in partners.values() for b in {b for _, b in seen}]
-    return (matches if len(values) == len(set(values)) == len(partners) else []), same
+    stands = {}
+    for value, seen in partners.items():
+        other, times = Counter(b for _, b in sorted(seen)).most_common(1)[0]
+        stands[value] = other if 2 * times > len(seen) else None
+    fits = lambda m: all(stands[a.split(":", 1)[1]] == b.split(":", 1)[1] for a, b in zip(m["slots"], m["own"]))
+    return [m for m in matches if fits(m)], same
 
 
 def _judge(batches, least_share: float):
