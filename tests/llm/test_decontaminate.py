@@ -69,3 +69,14 @@ def test_one_altered_number_and_merged_values_are_still_found(frame):
     found = leaks(frame, docs, [(1, " ".join(text)), (2, merged)])
     assert set(found) == {(1, 1), (2, 2)}
     assert 0.6 < found[1, 1]["share"] < 1 and not found[1, 1]["same_slots"]
+
+
+def test_dense_items_opening_names_and_long_units(frame):
+    asked = "Anna has 12 apples. Bert has 7 pears. Carla buys 3 of them for 2 dollars. How many does Carla have?"
+    new = asked.replace("Anna", "Dora").replace("Bert", "Emil").replace("Carla", "Frida")
+    names = "Anna, Bert, Carla, Dora, Emil, Frida, Gustav, Hanna, Ida, Jonas"
+    way = "they walked 5 kilometres along the river and carried 3 kilograms of salt up the steep hill"
+    units = way.replace("kilometres", "metres").replace("kilograms", "grams")
+    docs = [(1, f"{FILLER}. {new}"), (2, f"{FILLER} 5 + 7 = 12 {FILLER}"), (3, f"so: {names}"), (4, units), (5, "6 + 7 = 12")]
+    found = leaks(frame, docs, [(1, asked), (2, "5 + 7 = 12"), (3, names), (4, way)])
+    assert set(found) == {(1, 1), (2, 2), (3, 3), (4, 4)}

@@ -9,9 +9,10 @@ item's windows is a leak.
 
 * number: begins with a digit, after a sign or currency if any;
 * unit: a word of ``UNITS`` right after a number;
-* name: a capital and small letters, not at the start of a text, line or sentence; names in a row are one.
+* name: a capital and small letters; names in a row are one. What opens a text, line or sentence can be a name or not, so
+  texts are taken both ways: such words as literal, and as names.
 
-A window needs at least half literal words. Items shorter than a window are one window of their own length.
+A window of less than half literal words is joined by its words as they are. Items shorter than a window are one window of their own length.
 """
 
 from __future__ import annotations
@@ -38,7 +39,10 @@ UNITS = (
     "mm cm m km in inch inches ft foot feet yd yards mile miles mg g kg ton tons tonnes oz lb lbs pound pounds ml cl l "
     "liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week "
     "weeks month months year years percent degree degrees dollar dollars cent cents euro euros mph kmh watt watts volt "
-    "volts amp amps hz khz mhz ghz kb mb gb tb"
+    "volts amp amps hz khz mhz ghz kb mb gb tb meter meters metre metres kilometer kilometers kilometre kilometres "
+    "centimeter centimeters centimetre centimetres millimeter millimeters millimetre millimetres gram grams kilogram "
+    "kilograms milligram milligrams ounce ounces milliliter milliliters millilitre millilitres millisecond milliseconds "
+    "kilowatt kilowatts"
 ).split()
 
 _LITERAL, NUMBER, NAME, UNIT = range(4)
@@ -103,8 +107,7 @@ def windows(key: np.ndarray, kind: np.ndarray, own: np.ndarray, first: np.ndarra
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(doc[size - 1 :] == doc[: len(doc) - size + 1])
     literal = np.cumsum(np.concatenate([[0], kind == _LITERAL]))
-    at = at[2 * (literal[at + size] - literal[at]) >= size]
-    dense = np.zeros(len(at), bool)
+    dense = 2 * (literal[at + size] - literal[at]) < size
     total = np.where(dense, np.uint64(size + (1 << 20)), np.uint64(size))
     power = np.cumprod(np.full(size, _A, np.uint64))
     typed, plain = mix(key), mix(own)
@@ -146,7 +149,7 @@ def _item_windows(batches, size: int):
     for batch in batches:
         ids, rows = batch.column(0).to_pylist(), []
         for row, last, offsets, raw in blocks(batch.column(1)):
-            for opening in (False,):
+            for opening in (False, True):
                 key, kind, plain, start, end, first = template(offsets, raw, opening)
                 for d in range(last - row):
                     a, b = int(first[d]), int(first[d + 1])
@@ -168,7 +171,7 @@ def _document_windows(batches, sizes: list[int], bits: bytes):
         ids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for row, _, offsets, raw in blocks(batch.column(1), BLOCK_BYTES // 2):
             rows = []
-            for opening in (False,):
+            for opening in (False, True):
                 key, kind, plain, start, end, first = template(offsets, raw, opening)
                 for size in sizes:
                     at, keys, dense = windows(key, kind, plain, first, size)
