@@ -24,18 +24,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, number``: the rows as structs, each with a number, written once so that every pass sees the same."""
+    return materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), "numbered")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked ones (five-word shingles, similarity 0.8).
+    """Keeps the row with the smallest id of each group of linked ones (five-word shingles, similarity 0.8).
 
-    Rows that repeat an id are one document. Rows without an id cannot be told apart by it, and stay.
+    Null ids come last. Rows with one id or none are rows like others.
     """
-    groups = materialize(jaccard_join.jaccard_components(docs, size=5, percent=80), "groups")
-    # Few ids go, so the texts need not move for them.
-    gone = groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
-    again = groups.groupBy(F.col("id").alias("doc_id")).count().where("doc_id is not null and count > 1").select("doc_id")
-    once = docs.join(materialize(gone.union(again).distinct(), "gone"), "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.join(materialize(again.join(gone, "doc_id", "left_anti"), "again"), "doc_id", "left_semi")
-    return once.unionAll(repeated.dropDuplicates(["doc_id"]).select(docs.columns))
+    docs = numbered(docs)
+    rows = docs.select(F.col("row.doc_id").cast("long").alias("id"), F.col("number").alias("row"), F.col("row.text").cast("string").alias("text"))
+    groups = materialize(jaccard_join.linked_rows(rows, size=5, percent=80).where("group is not null"), "groups")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
+    heads = groups.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1").select("group", F.col("first.row").alias("head"))
+    # Few rows go, so the texts need not move for them.
+    gone = materialize(groups.join(heads, "group").where("row != head").select(F.col("row").alias("number")), "gone")
+    return docs.join(gone, "number", "left_anti").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +56,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes documents that hold items of the benchmark."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    leaks = decontaminate.find_leaks(docs, items).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    docs = numbered(docs)
+    leaks = decontaminate.find_leaks(docs.select("number", "row.text"), items, id_col="number")
+    gone = materialize(leaks.select(F.col("doc_id").alias("number")).distinct(), "leaks")
+    return docs.join(gone, "number", "left_anti").select("row.*")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

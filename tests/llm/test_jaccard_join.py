@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from tidelog.llm.components import components
 from tidelog.llm.jaccard_join import PrefixTree, Union, jaccard_components
 
@@ -75,3 +76,21 @@ def test_components_of_a_path_a_star_and_nothing(spark):
     found = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(20)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_without_an_id_link_and_only_the_first_of_linked_rows_stays(spark, frame, tmp_path):
+    rng = random.Random(6)
+    text = lambda n=60: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base, other, apart = text(), text(), text()
+    near, far = base[:-1] + ["y"], base[1:-1] + ["y"]
+    rows = [(5, base), (None, near), (6, base[1:] + ["z"]), (9, other), (9, apart), (9, far), (None, other), (None, apart)]
+    rows = [(d, " ".join(t)) for d, t in rows]
+    assert answer(frame(rows), size=5, percent=80) == expected(rows, 5, 80)
+    docs = frame(rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([rows[0], rows[3], rows[4]])
+    # The benchmark's texts go from rows with a null id too, and other texts of that id stay.
+    spark.createDataFrame([(1, rows[3][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["text"] for r in clean) == sorted(t for _, t in rows if t != rows[3][1])

@@ -147,10 +147,10 @@ def _star(nodes, begin, count, large):
     return np.unique(np.stack([nodes[apart], least[apart]]), axis=1)
 
 
-def _rows(bucket, id=None, n=None, node=None, other=None, shared=None, need=None, pairs=None, heavy=None):
+def _rows(bucket, id=None, row=None, n=None, node=None, other=None, shared=None, need=None, pairs=None, heavy=None):
     size = len(bucket)
     long, binary = pa.int64(), pa.binary()
-    columns = {"id": (id, long), "n": (n, long), "node": (node, long), "other": (other, long), "shared": (shared, long), "need": (need, long), "pairs": (pairs, binary), "heavy": (heavy, binary)}
+    columns = {"id": (id, long), "row": (row, long), "n": (n, long), "node": (node, long), "other": (other, long), "shared": (shared, long), "need": (need, long), "pairs": (pairs, binary), "heavy": (heavy, binary)}
     made = [pa.nulls(size, kind) if values is None else pa.array(values, kind) for values, kind in columns.values()]
     return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", *columns])
 
@@ -174,7 +174,7 @@ def _describe(batches, size: int, percent: int, buckets: int):
     limits = _bounds(percent)
     for batch in small(batches):
         n, node, keys, owner = [], [], [], []
-        for grams in _sets(batch.column(1), size):
+        for grams in _sets(batch.column("text"), size):
             n.append(len(grams))
             node.append(_digest(grams) if len(grams) else None)
             if len(grams) and node[-1] not in seen:
@@ -185,7 +185,7 @@ def _describe(batches, size: int, percent: int, buckets: int):
                 if len(seen) > SEEN_SETS:
                     seen.clear()
         spread = np.array([(x or 0) % buckets for x in node], np.int32)
-        yield _rows(spread, batch.column(0), n, node)
+        yield _rows(spread, batch.column("id"), batch.column("row"), n, node)
         if not keys:
             continue
         key, owner = np.concatenate(keys), np.concatenate(owner)
@@ -461,44 +461,52 @@ def _pass(batches, table: np.ndarray):
         yield batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)).drop_columns(["at"])
 
 
-def jaccard_components(
-    docs: DataFrame,
-    size: int = 3,
-    percent: int = 90,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    chunk_grams: int = CHUNK_GRAMS,
-) -> DataFrame:
-    """``id``, ``n_shingles`` and ``component_id`` for each row.
+def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
+    """``id, row, n, group`` from ``id, row, text``; linked rows have one group, texts without words have none.
 
-    Rows link when the Jaccard similarity of their word n-gram sets is ``percent`` / 100 or more; ``component_id`` is the
-    smallest id that links reach. Texts without words (null, empty, white space) have no n-grams and link with nothing.
-    Equal rows link as any equal texts do. A row with a null id is a document whose component has the smallest
-    id that is not null, or null if there is none. Other columns are not looked at.
+    ``row`` tells rows apart and must be the same in every pass.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
     describe = partial(_describe, size=size, percent=percent, buckets=buckets)
-    columns = "id long, n long, node long, other long, shared long, need long"
-    packed = rows.mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
+    columns = "id long, row long, n long, node long, other long, shared long, need long"
+    packed = rows.select("id", "row", "text").mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
     found = materialize(met.mapInArrow(_link, columns), "sets")
-    described = found.where("other is null").select("id", "n", "node")
+    described = found.where("other is null").select("id", "row", "n", "node")
     pairs = found.where("other is not null").groupBy("node", "other")
     close = pairs.agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need")
     links = components(close, "node", "other")
     block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
     # One text for each node of a block; the sets are made again from it, as few rows need them.
-    stands = described.join(block, "node").groupBy("node", "block").agg(F.min("id").alias("id"))
+    stands = described.join(block, "node").groupBy("node", "block").agg(F.min("row").alias("row"))
     stands = materialize(stands, "stands")
-    placed = rows.where("id is not null").select("id", "text", _position("id").alias("at"))
-    likely = placed.mapInArrow(partial(_pass, table=_filter_table(stands, "id")), "id long, text string")
-    texts = likely.join(stands, "id").select("node", "block", "text")
+    placed = rows.select("row", "text", _position("row").alias("at"))
+    likely = placed.mapInArrow(partial(_pass, table=_filter_table(stands, "row")), "row long, text string")
+    texts = likely.join(stands, "row").select("node", "block", "text")
     made = texts.mapInArrow(partial(_members, size=size), "node long, block long, digest long, grams array<long>")
     sets = materialize(made.where("digest = node").drop("digest"), "members")
     root = _solve(sets, percent, chunk_grams)
-    known = described.select("id", "n", "node")
-    named = known.join(root, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    least = named.where("node is not null").groupBy("group").agg(F.min("id").alias("least"))
+    return described.join(root, "node", "left").select("id", "row", "n", F.coalesce("root", "node").alias("group"))
+
+
+def jaccard_components(
+    docs: DataFrame,
+    size: int = 3,
+    percent: int = 90,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_grams: int = CHUNK_GRAMS,
+) -> DataFrame:
+    """``id``, ``n_shingles`` and ``component_id`` for each row.
+
+    Rows link when the Jaccard similarity of their word n-gram sets is ``percent`` / 100 or more; ``component_id`` is the
+    smallest id that links reach. Texts without words (null, empty, white space) have no n-grams and link with nothing.
+    Equal rows link as any equal texts do. A row with a null id is a document whose component has the smallest
+    id that is not null, or null if there is none. Other columns are not looked at.
+    """
+    text = F.col(text_col).cast("string").alias("text")
+    numbered = docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), text)
+    named = linked_rows(materialize(numbered, "rows"), size, percent, chunk_grams)
+    least = named.where("group is not null").groupBy("group").agg(F.min("id").alias("least"))
     joined = named.join(least, "group", "left")
     return joined.select("id", F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
