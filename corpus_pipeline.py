@@ -13,15 +13,15 @@ from tidelog.session import materialize
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-# A document goes if no language has at least this part of its letters, or if it has no letters.
-LEAST_SCORE = 0.5
+# A document goes if less than this part of its letters is surely in some language, or if it has no letters.
+LEAST_KNOWN = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are mainly in one language that the labelled documents have."""
+    """Keeps documents that are mainly in languages that the labelled documents have, be it one or several."""
     model = language_id.train(docs)
     found = language_id.identify(docs, model)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)).select("row.*")
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidelog.llm import language_id as L
 
 PARTS = {
@@ -74,3 +75,20 @@ def test_odd_rows(spark, frame, corpus):
     untrained = L.train(labelled(spark)[0].where(F.lit(False)))
     assert untrained is None
     assert {r["lang_pred"] for r in L.identify(frame(corpus), None).collect()} == {"und"}
+
+
+def test_every_language_is_learned_and_texts_of_several_languages_stay(spark):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    parts = {f"l{i:02}": ["".join(rng.choice(letters) for _ in range(4)) for _ in range(6)] for i in range(70)}
+    say = lambda lang, n: " ".join(rng.choice(parts[lang]) for _ in range(n))
+    docs = [(100 * i + k, say(lang, 30), lang) for i, lang in enumerate(parts) for k in range(2 + (i < 60))]
+    mixed = " ".join(say(lang, 20) for lang in ("l00", "l30", "l65", "l69"))
+    df = spark.createDataFrame([*docs, (9000, mixed, None), (9001, "12 34", None)], "doc_id long, text string, lang string")
+    model = L.train(df)
+    assert model.languages == sorted(parts)
+    found = {r["row"]["doc_id"]: r for r in L.identify(df, model).collect()}
+    assert all(found[d]["lang_pred"] == lang for d, _, lang in docs)
+    assert found[9000]["score"] < 0.5 < 0.9 < found[9000]["known"] <= 1
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, df, "").collect()}
+    assert kept == {d for d, _, _ in docs} | {9000}

@@ -24,10 +24,9 @@ UNKNOWN = "und"
 # Cost of a change of language, in natural logarithms.
 SWITCH = 8.0
 
-# Labelled documents of a language that the model is fitted on (about; chosen by hash over all), languages that it may
-# know (the most frequent), and cells of the count table. They bound the model.
+# Labelled documents of a language that the model is fitted on (about; chosen by hash over all), and cells of its
+# count table. They bound the model of a language; all labelled languages are known.
 SAMPLE_DOCS = 4_000
-MOST_LANGUAGES = 64
 CELLS = 1 << 15
 
 # At least this part of a language's letters makes a script one of its own.
@@ -149,7 +148,15 @@ def _count(batches, languages: list[str]):
     reader = Reader()
     number = {name: i for i, name in enumerate(languages)}
     scripts = len(reader.script_names)
-    total = np.zeros((len(languages), CELLS + scripts), np.int64)
+    total: dict[int, np.ndarray] = {}  # of the languages met since the last rows
+
+    def rows():
+        for one, counts in total.items():
+            cell = np.flatnonzero(counts)
+            columns = [pa.array(np.full(len(cell), one), pa.int32()), pa.array(cell, pa.int32()), pa.array(counts[cell], pa.int64())]
+            yield pa.record_batch(columns, ["lang", "cell", "n"])
+        total.clear()
+
     for batch in small(batches):
         names = batch.column(0).to_pylist()
         for row, texts in _slices(batch.column(1)):
@@ -161,10 +168,12 @@ def _count(batches, languages: list[str]):
             script = reader.script[flat[begin]]
             for one in np.unique(lang):
                 uses = np.bincount(word[lang == one], minlength=len(begin))
-                total[one, :CELLS] += np.bincount(cell, uses[owner], CELLS).astype(np.int64)
-                total[one, CELLS:] += np.bincount(script, uses * length, scripts).astype(np.int64)
-    lang, cell = np.nonzero(total)
-    yield pa.record_batch([pa.array(lang, pa.int32()), pa.array(cell, pa.int32()), pa.array(total[lang, cell], pa.int64())], ["lang", "cell", "n"])
+                counts = total.setdefault(int(one), np.zeros(CELLS + scripts, np.int64))
+                counts[:CELLS] += np.bincount(cell, uses[owner], CELLS).astype(np.int64)
+                counts[CELLS:] += np.bincount(script, uses * length, scripts).astype(np.int64)
+                if len(total) >= 64:
+                    yield from rows()
+    yield from rows()
 
 
 class Model:
@@ -185,7 +194,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     """
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not sizes:
         return None
     languages = sorted(r["lang"] for r in sizes)
@@ -241,15 +250,17 @@ def _label(batches, model, switch: float, place: int):
     languages = np.array([*model.languages, UNKNOWN], object)
     states = len(model.languages)
     for batch in small(batches):
-        names, scores, spans = [], [], []
+        names, scores, known, spans = [], [], [], []
         column = batch.column(0).field(place)
         column = column if pa.types.is_string(column.type) else column.cast(pa.string())
-        for _, texts in _slices(column):
+        # Scores are a number a word and language, so more languages take fewer texts at a time.
+        for _, texts in _slices(column, (1 << 19) * 16 // max(16, states)):
             flat, begin, word, doc, length = reader.words(texts)
             docs = len(texts)
             if not len(begin):
                 names += [UNKNOWN] * docs
                 scores += [0.0] * docs
+                known += [0.0] * docs
                 spans += [[]] * docs
                 continue
             cell, owner = reader.cells(flat, begin, length)
@@ -279,31 +290,36 @@ def _label(batches, model, switch: float, place: int):
             turn[1:] = (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])
             at = np.flatnonzero(turn)
             many = np.diff(np.append(at, len(label)))
+            # The part of the letters in spans, each by how sure its language is there.
+            span = np.add.reduceat(each, at, axis=0).astype(np.float64)
+            odds = np.exp(np.maximum(span - span.max(1, keepdims=True), -700))
+            sure = odds[np.arange(len(at)), label[at]] / odds.sum(1) * np.add.reduceat(weight, at)
+            known += (np.bincount(doc[at], sure, docs) / np.maximum(by.sum(1), 1)).tolist()
             found = [[] for _ in range(docs)]
             for d, a, n, s in zip(doc[at].tolist(), at.tolist(), many.tolist(), label[at].tolist()):
                 found[d].append({"start_word": a - int(first[d]), "n_words": n, "lang": model.languages[s]})
             spans += found
         kind = pa.list_(pa.struct([("start_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))
-        columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)]
-        yield pa.record_batch(columns, ["row", "lang_pred", "score", "spans"])
+        columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(known, pa.float64()), pa.array(spans, kind)]
+        yield pa.record_batch(columns, ["row", "lang_pred", "score", "known", "spans"])
 
 
 def identify(
     docs: DataFrame, model: Model | None, switch: float = SWITCH, text_col: str = "text"
 ) -> DataFrame:
-    """``row, lang_pred, score, spans`` for every row, which ``row`` holds as a struct of all its columns.
+    """``row, lang_pred, score, known, spans`` for every row, which ``row`` holds as a struct of all its columns.
 
     ``spans`` are runs of words (runs of letters, counted from 0) with one language. ``lang_pred`` has the most letters
     (of equal ones the first by name); ``score`` is its part of the letters times its probability among the languages
-    for them. Null texts, texts without letters and any text without a model are ``und`` with score 0 and no spans.
+    for them; ``known`` is the part of the letters in spans of any language, by their probability. Null texts, texts without letters and any text without a model are ``und`` with score 0 and no spans.
     Repeated rows and null ids are rows like others, and columns of any name pass in ``row``.
     """
     rows = docs.select(F.struct("*").alias("row"))
     spans = "array<struct<start_word: long, n_words: long, lang: string>>"
     if model is None:
-        none = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.expr(f"cast(array() as {spans})").alias("spans")]
+        none = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"), F.expr(f"cast(array() as {spans})").alias("spans")]
         return rows.select("row", *none)
-    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang_pred string, score double, spans {spans}")])
+    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang_pred string, score double, known double, spans {spans}")])
     return rows.mapInArrow(partial(_label, model=model, switch=switch, place=docs.columns.index(text_col)), schema)
 
 
