@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tidelog.llm import (
     language_id,
     merkle,
     packing,
+    periodic_runs,
     pii,
     substring_dedup,
     token_rollup,
@@ -117,3 +119,31 @@ def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
     base = found.withColumn("base", F.filter("spans", lambda s: s["base"]))
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
     return base.select("doc_id", *counts, F.sha2(pii.listing(F.col("base")), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans"))
+
+
+def repeated_ends(doc: int | None, words: list[bytes]) -> list[bytes]:
+    """Where the crc32 of the id is a multiple of 10, the words from some place on repeat the first of them."""
+    h, n = zlib.crc32(str(doc).encode()), len(words)
+    if doc is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + period] * (-(-(n - a) // period)))[: n - a]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeating words in all documents, the one of most periods, and the documents without the repeats."""
+    found = periodic_runs.find_runs(table(spark, folder, "documents"), rewrite=repeated_ends)
+    line = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))"
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.expr(line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
