@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,12 @@ from tidelog.llm import (
     packing,
     periodic_runs,
     pii,
+    spelling,
     substring_dedup,
     token_rollup,
     toxicity,
 )
-from tidelog.session import scratch
+from tidelog.session import materialize, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +149,25 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws("", F.expr(line)), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def lost_letters(doc: int | None, runs: Counter[str]) -> Counter[str]:
+    """Runs of which one in 199, told by the crc32 of id and run, has lost a letter."""
+    if doc is None:
+        return runs
+    begin = zlib.crc32(f"{doc}:".encode())
+    kept: Counter[str] = Counter()
+    for run, n in runs.items():
+        h = zlib.crc32(run.encode(), begin)
+        if h % 199 == 0:
+            lost = h % len(run)
+            run = run[:lost] + run[lost + 1 :]
+        kept[run] += n
+    return kept
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of six letters and five occurrences or more, with the words one letter apart and the forms they vary."""
+    words = materialize(spelling.vocabulary(table(spark, folder, "documents"), edit=lost_letters), "words")
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
