@@ -1,11 +1,13 @@
 """Personal data: the first rules against plain Python, what is added, odd rows."""
 
+import hashlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.llm import pii as P
+from tidelog.llm.queries import op12_pii
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -106,3 +108,15 @@ def test_odd_rows(frame, corpus):
 def test_no_python_in_the_plan(frame):
     plan = P.find_pii(frame([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_query(spark, frame, tmp_path):
+    frame(list(enumerate(TEXTS))).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op12_pii(spark, str(tmp_path)).collect()
+    assert len(rows) == len(TEXTS)
+    for r in rows:
+        spans = base_spans(TEXTS[r["doc_id"]])
+        listed = [f"{kind}:{a}:{b}" for kind, a, b in spans]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert [r[f"n_{kind}"] for kind in P.KINDS[:4]] == [sum(s[0] == kind for s in spans) for kind in P.KINDS[:4]]
+        assert set(listed) <= set(r["spans"].split(",")) | {""}
