@@ -36,7 +36,7 @@ RATIO = 5
 GROUPS = 16
 
 # Words that one shard is to hold of its own.
-SHARD_WORDS = 50_000
+SHARD_WORDS = 10_000
 
 # Words of a leaf that are compared without going further down, and pairs that are compared at once.
 LEAF = 12
