@@ -20,7 +20,7 @@ def reference():
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["it's we'll I'd", "a\n\nb", " lead", "trail ", "x,y.z 12 3.5%", "a b   c", "\n", "don't\nstop, now.", "<|endoftext|> x", "漢字 かな"]
+ODD = ["it's we'll I'd", "a\n\nb", " lead", "trail ", "x,y.z 12 3.5%", "a b   c", "\n", "don't\nstop, now.", "<|endoftext|> x", "漢字 かな", " ", "\u00a0x", "x\u2003\u3000y", "a\x1c\x1cb", "x\u200b y", "Ünï cödé ß"]
 
 
 def test_ids_equal_the_reference(reference, corpus):

@@ -1,27 +1,17 @@
-"""Token ids of whole texts under a byte-level BPE vocabulary, with a bounded memory of frequent words."""
+"""Token ids of whole texts under a byte-level BPE vocabulary."""
 
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 
 import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-# Distinct words whose ids a task remembers; beyond that it forgets all and starts again.
-REMEMBERED = 300_000
-
-_RUN = re.compile(r"\s\s|^\s|\s$")
-
 
 class ByteBpe:
-    """Ids as little-endian unsigned 32-bit bytes, equal to those of ``name``.json in the library ``tokenizers``.
-
-    Where every white space has other characters on both sides, no token spans a blank except at its start. Such a
-    text is cut at its blanks, and words seen before are looked up. Other texts are encoded as a whole.
-    """
+    """Ids as little-endian unsigned 32-bit bytes, equal to those of ``name``.json in the library ``tokenizers``."""
 
     def __init__(self, name: str = "byte_bpe_50k"):
         self.name = name
@@ -30,9 +20,10 @@ class ByteBpe:
         self.encoding = tiktoken.Encoding(
             name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.known: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
         try:
             ids = self.encoding.encode_ordinary(text)
         except BaseException as error:  # the pattern library gives up on extremely long runs of white space
@@ -42,31 +33,3 @@ class ByteBpe:
             slow.encode_special_tokens = True
             ids = slow.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
-
-    def _learn(self, word: str) -> bytes:
-        if "\n" in word:
-            first, *rest = word.split("\n")
-            line = self._of("\n")
-            found = line.join([self._of(first), *map(self._of, rest)])
-        elif word[-1] in ",." and word[word[0] == " " : -1].isalpha():
-            found = self._of(word[:-1]) + self._of(word[-1])
-        else:
-            found = self._whole(word)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(word) <= 64:
-            self.known[word] = found
-        return found
-
-    def _of(self, word: str) -> bytes:
-        return self.known.get(word) or (self._whole("\n") if word == "\n" else self._learn(word))
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _RUN.search(text):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        get, learn = self.known.get, self._learn
-        found = [get(word) or learn(word) for word in map(" ".__add__, rest)]
-        return b"".join([self._of(first), *found])
