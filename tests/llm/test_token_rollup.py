@@ -48,6 +48,16 @@ def test_batches_repeats_and_retries(spark):
     assert ledger.apply(spark.createDataFrame([], SCHEMA), 9) and totals(ledger) == state_totals(state)
 
 
+def test_a_mark_that_was_not_written_out(spark):
+    ledger = TokenLedger(spark, scratch(spark, "ledger"), [WORDS])
+    changes = spark.createDataFrame([(1, "insert", 1, "s", "en", "a b", None)], SCHEMA)
+    fs, path = ledger._path("commits/0")
+    fs.create(path, False).close()  # a driver that was lost between the two steps
+    assert totals(ledger) == {}
+    assert ledger.apply(changes, 0) and not ledger.apply(changes, 0)
+    assert totals(ledger) == {("s", "en"): (1, 2)}
+
+
 def test_versions_and_corpus(spark):
     rows = [(1, "mail me@x.org now", "s", "en"), (2, "same text", "s", "en"), (3, "same text", "t", "de"), (4, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")

@@ -64,7 +64,7 @@ class TokenLedger:
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def commits(self) -> dict[int, str]:
-        """Folder of each batch that counts."""
+        """Folder of each batch that counts. A mark without content is none."""
         fs, path = self._path("commits")
         if not fs.exists(path):
             return {}
@@ -72,16 +72,24 @@ class TokenLedger:
         return {int(r["value"].split(" ")[0]): r["value"].split(" ")[1] for r in marks}
 
     def _commit(self, batch: int, folder: str) -> bool:
-        """Makes the mark, unless there is one."""
-        fs, path = self._path(f"commits/{batch}")
-        try:
-            mark = fs.create(path, False)
+        """Makes the mark, unless there is one. It is written under another name and renamed, so it is there whole."""
+        fs, mark = self._path(f"commits/{batch}")
+        _, fresh = self._path(f"commits/_{folder}")
+        out = fs.create(fresh, True)
+        out.write(f"{batch} {folder}\n".encode())
+        out.close()
+        if fs.exists(mark) and fs.getFileStatus(mark).getLen() == 0:
+            fs.delete(mark, False)
+        context = self.spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs
+        files = hadoop.FileContext.getFileContext(mark.toUri(), context._jsc.hadoopConfiguration())
+        try:  # fails where the mark is
+            files.rename(fresh, mark, context._gateway.new_array(hadoop.Options.Rename, 0))
         except Exception:
-            if fs.exists(path):
-                return False
-            raise
-        mark.write(f"{batch} {folder}\n".encode())
-        mark.close()
+            if not fs.exists(mark):
+                raise
+            fs.delete(fresh, False)
+            return False
         return True
 
     def ledger(self) -> DataFrame:
