@@ -14,6 +14,7 @@ its size, and no link is lost.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from functools import partial
 
@@ -27,10 +28,15 @@ from tidelog.llm.components import components
 from tidelog.llm.words import blocks, lists, mix, signed, small, spans, unsigned, words_of
 from tidelog.session import materialize
 
-# N-grams of one chunk of a block, set digests that a task remembers, and text for one bucket of part keys.
+# N-grams of one chunk of a block, and set digests that a task remembers.
 CHUNK_GRAMS = 600_000
 SEEN_SETS = 200_000
-BUCKET_BYTES = 16 << 20
+
+# Part keys of one bucket in bytes, buckets of one task, bytes of text for a word, and pairs that are counted at once.
+BUCKET_BYTES = 8 << 20
+TASK_BUCKETS = 8
+WORD_BYTES = 6
+PAIRS = 1 << 19
 
 # Bits of the filter for the documents whose sets are needed.
 FILTER_BITS = 1 << 24
@@ -39,7 +45,8 @@ FILTER_BITS = 1 << 24
 LARGE = 24
 ALWAYS = 1 << 32
 
-_LOW = np.uint64(0xFF)
+# A part's key, the node that has it, and how many keys a linked node shares with that node.
+PART = np.dtype([("key", "<u8"), ("node", "<i8"), ("need", "<u2")])
 
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -76,25 +83,24 @@ class Scheme:
     """How sets are cut whose smaller one of a pair is in this size class.
 
     Linked sets differ in at most ``most`` n-grams, so of ``parts`` parts at least ``parts - most`` are equal. At most
-    ``empty`` of them may be empty in a set that leaves its empty parts out; ``need`` are equal and not left out.
+    ``empty`` of them may be empty in a set that leaves its empty parts out; ``need`` are equal and not left out. Of the
+    filled parts of a set that leaves out the others, all but ``most`` are equal in a linked one.
     """
 
     def __init__(self, number: int, bounds: np.ndarray, percent: int):
         small = int(bounds[number + 1]) - 1
         large = small * 100 // percent
-        most = (small + large) * (100 - percent) // (100 + percent)
+        most = self.most = (small + large) * (100 - percent) // (100 + percent)
         self.empty = 4 + most // 10
         self.need = min(1 + most // 12, 255)
         self.parts = most + self.empty + self.need
 
 
-def signatures(grams: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
-    """Keys of the parts of a set, from the sum of the n-gram keys in each. The low byte has the scheme's ``need``."""
+def signatures(grams: np.ndarray, percent: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts of a set, from the sum of the n-gram keys in each, and how many of them a linked set shares."""
     own = int(np.searchsorted(bounds, len(grams), "right")) - 1
-    if own < 0:
-        return np.zeros(0, np.uint64)
+    found, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)]
     spread = grams >> np.uint64(32)
-    found = []
     for number in (own, own - 1):
         if number < 0:
             continue
@@ -104,9 +110,12 @@ def signatures(grams: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarra
         np.add.at(total, part, grams)
         filled = np.bincount(part, minlength=scheme.parts) > 0
         name = np.arange(scheme.parts, dtype=np.uint64) * _A + np.full(scheme.parts, number, np.uint64) * _B
-        keys = (mix(mix(total) + name) & ~_LOW) | np.uint64(scheme.need)
-        found.append(keys[filled] if scheme.parts - filled.sum() <= scheme.empty else keys)
-    return np.concatenate(found)
+        keys, need = mix(mix(total) + name), scheme.need
+        if scheme.parts - filled.sum() <= scheme.empty:
+            keys, need = keys[filled], min(int(filled.sum()) - scheme.most, 0xFFFF)
+        found.append(keys)
+        needs.append(np.full(len(keys), need, np.uint16))
+    return np.concatenate(found), np.concatenate(needs)
 
 
 def _sets(texts: pa.Array, size: int):
@@ -123,28 +132,36 @@ def _digest(grams: np.ndarray) -> int:
     return int(signed(mix(total))[0])
 
 
-def _groups(keys: np.ndarray, nodes: np.ndarray, heavy: np.ndarray):
-    """Keys and nodes in order without repeats, the first place of each key, its nodes, and whether it is heavy."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes, heavy = keys[order], nodes[order], heavy[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
+def _groups(parts: np.ndarray, heavy: np.ndarray):
+    """Parts by key and node without repeats, the first place of each key, its nodes, and whether it is heavy."""
+    order = np.lexsort((parts["node"], parts["key"]))
+    parts, heavy = parts[order], heavy[order]
+    new = np.ones(len(parts), bool)
+    new[1:] = parts["key"][1:] != parts["key"][:-1]
     begin = np.flatnonzero(new)
     marked = np.logical_or.reduceat(heavy, begin) if len(begin) else heavy
     once = new.copy()
-    once[1:] |= nodes[1:] != nodes[:-1]
-    keys, nodes, new = keys[once], nodes[once], new[once]
+    once[1:] |= parts["node"][1:] != parts["node"][:-1]
+    parts, new = parts[once], new[once]
     begin = np.flatnonzero(new)
-    count = np.diff(np.append(begin, len(keys)))
-    return keys, nodes, begin, count, marked | (count > LARGE)
+    count = np.diff(np.append(begin, len(parts)))
+    return parts, begin, count, marked | (count > LARGE)
+
+
+def _once(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns of a table, and how often each is there."""
+    links = links[:, np.lexsort(links[::-1])]
+    first = np.flatnonzero(np.concatenate([[True], (links[:, 1:] != links[:, :-1]).any(axis=0)])[: links.shape[1]])
+    return links[:, first], np.diff(np.append(first, links.shape[1]))
 
 
-def _star(nodes, begin, count, large):
+def _star(parts, begin, count, large):
     """Links of the nodes of large groups to their smallest one."""
+    nodes = parts["node"]
     inside = np.repeat(large, count)
     least = np.repeat(nodes[begin], count)
     apart = inside & (nodes != least)
-    return np.unique(np.stack([nodes[apart], least[apart]]), axis=1)
+    return _once(np.stack([nodes[apart], least[apart]]))[0]
 
 
 def _rows(bucket, id=None, row=None, n=None, node=None, other=None, shared=None, need=None, pairs=None, heavy=None):
@@ -155,13 +172,12 @@ def _rows(bucket, id=None, row=None, n=None, node=None, other=None, shared=None,
     return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", *columns])
 
 
-def _packs(keys: np.ndarray, nodes: np.ndarray, buckets: int):
-    """Bucket numbers, and the keys and nodes of each as bytes."""
-    bucket = ((keys >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32)
+def _packs(parts: np.ndarray, buckets: int):
+    """Bucket numbers, and the parts of each as bytes."""
+    bucket = ((parts["key"] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
-    pairs = np.stack([keys[order], nodes[order].view(np.uint64)], axis=1)
     names, begin = np.unique(bucket[order], return_index=True)
-    return names, [part.tobytes() for part in np.split(pairs, begin[1:])] if len(names) else []
+    return names, [part.tobytes() for part in np.split(parts[order], begin[1:])] if len(names) else []
 
 
 def _describe(batches, size: int, percent: int, buckets: int):
@@ -173,60 +189,69 @@ def _describe(batches, size: int, percent: int, buckets: int):
     seen: set[int] = set()
     limits = _bounds(percent)
     for batch in small(batches):
-        n, node, keys, owner = [], [], [], []
+        n, node, made = [], [], []
         for grams in _sets(batch.column("text"), size):
             n.append(len(grams))
             node.append(_digest(grams) if len(grams) else None)
             if len(grams) and node[-1] not in seen:
-                found = signatures(grams, percent, limits)
-                keys.append(found)
-                owner.append(np.full(len(found), node[-1], np.int64))
+                keys, needs = signatures(grams, percent, limits)
+                parts = np.empty(len(keys), PART)
+                parts["key"], parts["node"], parts["need"] = keys, node[-1], needs
+                made.append(parts)
                 seen.add(node[-1])
                 if len(seen) > SEEN_SETS:
                     seen.clear()
         spread = np.array([(x or 0) % buckets for x in node], np.int32)
         yield _rows(spread, batch.column("id"), batch.column("row"), n, node)
-        if not keys:
+        if not made:
             continue
-        key, owner = np.concatenate(keys), np.concatenate(owner)
-        key, owner, begin, count, large = _groups(key, owner, np.zeros(len(key), bool))
-        star = _star(owner, begin, count, large)
+        parts = np.concatenate(made)
+        parts, begin, count, large = _groups(parts, np.zeros(len(parts), bool))
+        star = _star(parts, begin, count, large)
         many = np.full(star.shape[1], ALWAYS)
         yield _rows(star[0] % buckets, node=star[0], other=star[1], shared=many, need=np.zeros(len(many), np.int64))
-        few = ~np.repeat(large, count)
-        names, packs = _packs(key[few], owner[few], buckets)
+        names, packs = _packs(parts[~np.repeat(large, count)], buckets)
         yield _rows(names, pairs=packs)
-        names, packs = _packs(key[begin[large]], owner[begin[large]], buckets)
+        names, packs = _packs(parts[begin[large]], buckets)
         yield _rows(names, heavy=packs)
 
 
-def _pairs(keys, nodes, begin, count, large):
-    """Pairs of nodes in the groups that are not large, with the number of keys that they share and need."""
-    found = []
+def _pairs(parts, begin, count, large):
+    """Pairs of nodes in the groups that are not large, with the number of keys that they share and need.
+
+    So many pairs are counted at once, and a pair may come several times with a part of its count.
+    """
+    held, waiting = [], 0
     for size in range(2, LARGE + 1):
         at = begin[(count == size) & ~large]
-        if len(at):
-            a, b = np.triu_indices(size, 1)
-            group = nodes[at[:, None] + np.arange(size)]
-            need = np.repeat((keys[at] & _LOW).astype(np.int64), len(a))
-            found.append(np.stack([group[:, b].ravel(), group[:, a].ravel(), need]))
-    if not found:
-        return np.zeros((4, 0), np.int64)
-    pairs, shared = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
-    return np.concatenate([pairs, shared[None, :]])
+        a, b = np.triu_indices(size, 1)
+        step = max(1, PAIRS // len(a))
+        for few in (at[i : i + step] for i in range(0, len(at), step)):
+            group = parts[few[:, None] + np.arange(size)]
+            need = np.maximum(group["need"][:, a], group["need"][:, b])
+            held.append(np.stack([group["node"][:, b].ravel(), group["node"][:, a].ravel(), need.ravel().astype(np.int64)]))
+            waiting += need.size
+            if waiting >= PAIRS:
+                yield _once(np.concatenate(held, axis=1))
+                held, waiting = [], 0
+    if held:
+        yield _once(np.concatenate(held, axis=1))
 
 
 def _link(batches):
     """Links of the nodes that share a key, one bucket after the other; other rows pass."""
 
+    def linked(link, shared, need):
+        made = _rows(np.zeros(link.shape[1], np.int32), node=link[0], other=link[1], shared=shared, need=need)
+        return made.drop_columns(["bucket", "pairs", "heavy"])
+
     def flush():
-        light, heavy = (np.frombuffer(b"".join(x), np.uint64).reshape(-1, 2) for x in (held, marked))
-        both = np.concatenate([light, heavy])
-        groups = _groups(both[:, 0], both[:, 1].view(np.int64), np.arange(len(both)) >= len(light))
-        star, pairs = _star(*groups[1:]), _pairs(*groups)
-        for link, shared, need in ((star, np.full(star.shape[1], ALWAYS), np.zeros(star.shape[1], np.int64)), (pairs, pairs[3], pairs[2])):
-            made = _rows(np.zeros(link.shape[1], np.int32), node=link[0], other=link[1], shared=shared, need=need)
-            yield made.drop_columns(["bucket", "pairs", "heavy"])
+        light, heavy = (np.frombuffer(b"".join(x), PART) for x in (held, marked))
+        groups = _groups(np.concatenate([light, heavy]), np.arange(len(light) + len(heavy)) >= len(light))
+        star = _star(*groups)
+        yield linked(star, np.full(star.shape[1], ALWAYS), np.zeros(star.shape[1], np.int64))
+        for pairs, shared in _pairs(*groups):
+            yield linked(pairs, shared, pairs[2])
 
     held, marked, now = [], [], None
     for batch in batches:
@@ -466,15 +491,20 @@ def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHU
 
     ``row`` tells rows apart and must be the same in every pass.
     """
-    buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
+    # Two schemes of about most + most / 5 parts for a set of as many n-grams as words.
+    share = 2 * 1.2 * 2 * (100 - percent) / (100 + percent) * PART.itemsize / WORD_BYTES
+    written = share * (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    buckets = 64 + math.ceil(written / BUCKET_BYTES)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // TASK_BUCKETS)
     describe = partial(_describe, size=size, percent=percent, buckets=buckets)
     columns = "id long, row long, n long, node long, other long, shared long, need long"
     packed = rows.select("id", "row", "text").mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
-    met = packed.repartition("bucket").sortWithinPartitions("bucket")
+    met = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     found = materialize(met.mapInArrow(_link, columns), "sets")
     described = found.where("other is null").select("id", "row", "n", "node")
-    pairs = found.where("other is not null").groupBy("node", "other")
-    close = pairs.agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need")
+    # The two schemes of a set ask for different numbers of keys.
+    pairs = found.where("other is not null").groupBy("node", "other", "need")
+    close = pairs.agg(F.sum("shared").alias("shared")).where("shared >= need").select("node", "other").distinct()
     links = components(close, "node", "other")
     block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
     # One text for each node of a block; the sets are made again from it, as few rows need them.
