@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators import apply
+from tidelog.operators.arrival import REPEAT
 from tidelog.operators.normalize import normalize
 from tidelog.plans import changes as ch
 from tidelog.plans.application import KEY, MIDDLE, NEWEST, ORDER, STATE_SQL, moment, row_log
@@ -18,7 +19,7 @@ from tidelog.session import scratch
 from tidelog.sources import readers, storage
 from tidelog.sources.messages import parse_envelope
 from tidelog.sources.readers import message_stream, table
-from tidelog.streaming import completeness, runner, writers
+from tidelog.streaming import admission, completeness, runner, writers
 from tidelog.streaming.mirror_table import MirrorTable
 
 # Text that one micro-batch of the registered queries takes, and the most messages in a landed file.
@@ -221,28 +222,18 @@ def fan_out(spark, folder):
     return counts[0].unionByName(counts[1])
 
 
-# First days of the slices in which ``stream_watermark_dedupe`` gets its messages.
-SLICES = ("2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26")
-
-
 @query(ALL_SQL)
-def stream_watermark_dedupe(spark, folder):
-    """Each message is delivered twice, in slices of event time that arrive one after the other.
+def stream_watermark_dedupe(spark, folder, file_messages=FILE_MESSAGES, **bounds):
+    """Each message is delivered twice; the stream takes each once, by its position, and sets late ones aside.
 
-    Both deliveries are in the slice of their time, so the watermark, which is at the end of a slice when
-    the next one comes, lets go of state and makes no row late. The slices go by date and not by files.
+    What came before is known by intervals of positions and the newest time in them, so the result does not depend
+    on how the stream is cut into batches or on the order of rows in one. Late rows stay in the log.
     """
     root = scratch(spark, "dedupe")
-    rows = ch.change_rows(spark, folder)
-    day = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd")
-    number = sum((F.when(day >= first, 1).otherwise(0) for first in SLICES), F.lit(0))
-    twice = ch.as_envelopes(rows.withColumn("slice", number), "slice").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    twice.drop("copy").write.partitionBy("slice").text(f"{root}/slices")
-    for part in range(len(SLICES) + 1):
-        here = f"{root}/slices/slice={part}"
-        if not storage.exists(spark, here):
-            continue
-        land(spark.read.schema("value string").text(here), f"{root}/in")
-        log = streamed_log(message_stream(spark, f"{root}/in", bytes_per_batch=BATCH_BYTES))
-        writers.append(apply.dedupe_stream(log, KEY, ["lsn"]), f"{root}/out", f"{root}/checkpoint")
-    return spark.read.schema(log.schema).parquet(f"{root}/out")
+    twice = ch.envelopes(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    land(twice, f"{root}/in", file_messages)
+    log = streamed_log(message_stream(spark, f"{root}/in", **(bounds or {"bytes_per_batch": BATCH_BYTES})))
+    named = log.withColumn("origin", F.lit("app"))
+    runner.run(named, admission.admit(root, "origin", "lsn"), f"{root}/checkpoint")
+    taken = admission.read(spark, root, named.schema).where(F.col("standing") != REPEAT)
+    return taken.drop("origin", "standing")
