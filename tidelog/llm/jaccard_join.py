@@ -1,9 +1,10 @@
 """Exact Jaccard self-join of word n-gram sets, with a prefix tree.
 
 Sets that are equal are one node. For the others, sets of similar size are cut into so many parts (by key) that two
-linked sets must agree on a certain number of parts that are not empty in them. Pairs that agree on so many, and the
-nodes of parts that many sets share, are joined into blocks; linked sets always meet in a block. In a block the n-grams get one order, the ordered sets are stored in a tree of shared
-prefixes, and each set walks the tree once: it carries the overlap of the prefix, and leaves a branch when the
+linked sets must agree on a certain number of parts that are not empty in them. Pairs that agree on so many are joined
+into blocks. Parts that many sets share are left out of that count, and so many fewer are asked for; only sets with
+few other parts are joined to the others of the kind that share such a part. Linked sets always meet in a block. In a
+block the n-grams get one order, the ordered sets are stored in a tree of shared prefixes, and each set walks the tree once: it carries the overlap of the prefix, and leaves a branch when the
 n-grams that remain on either side cannot reach the threshold. Branches that already belong to the walker's
 component are left too, as another link there says nothing new.
 
@@ -41,9 +42,11 @@ PAIRS = 1 << 19
 # Bits of the filter for the documents whose sets are needed.
 FILTER_BITS = 1 << 24
 
-# Nodes of a key of which all pairs are counted; of more, each is linked to the smallest.
+# Nodes of a key of which all pairs are counted. A key of more nodes is heavy: it counts for no pair.
 LARGE = 24
-ALWAYS = 1 << 32
+
+# Sets of up to so many n-grams are cut into more parts than they have n-grams.
+SHORT = 64
 
 # A part's key, the node that has it, and how many keys a linked node shares with that node.
 PART = np.dtype([("key", "<u8"), ("node", "<i8"), ("need", "<u2")])
@@ -91,7 +94,7 @@ class Scheme:
         small = int(bounds[number + 1]) - 1
         large = small * 100 // percent
         most = self.most = (small + large) * (100 - percent) // (100 + percent)
-        self.empty = 4 + most // 10
+        self.empty = 4 + most // 10 + (small if small <= SHORT else 0)
         self.need = min(1 + most // 12, 255)
         self.parts = most + self.empty + self.need
 
@@ -155,21 +158,20 @@ def _once(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return links[:, first], np.diff(np.append(first, links.shape[1]))
 
 
-def _star(parts, begin, count, large):
-    """Links of the nodes of large groups to their smallest one."""
-    nodes = parts["node"]
-    inside = np.repeat(large, count)
-    least = np.repeat(nodes[begin], count)
-    apart = inside & (nodes != least)
-    return _once(np.stack([nodes[apart], least[apart]]))[0]
+_LINKS = {"id": "long", "row": "long", "n": "long", "node": "long", "other": "long", "key": "long", "shared": "long", "need": "long", "other_need": "long"}
+
 
+def _rows(bucket, **given):
+    """Rows with the given columns; the others are null."""
+    kinds = {name: pa.int64() for name in _LINKS} | {"pairs": pa.binary(), "heavy": pa.binary()}
+    made = [pa.array(given[name], kind) if name in given else pa.nulls(len(bucket), kind) for name, kind in kinds.items()]
+    return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", *kinds])
 
-def _rows(bucket, id=None, row=None, n=None, node=None, other=None, shared=None, need=None, pairs=None, heavy=None):
-    size = len(bucket)
-    long, binary = pa.int64(), pa.binary()
-    columns = {"id": (id, long), "row": (row, long), "n": (n, long), "node": (node, long), "other": (other, long), "shared": (shared, long), "need": (need, long), "pairs": (pairs, binary), "heavy": (heavy, binary)}
-    made = [pa.nulls(size, kind) if values is None else pa.array(values, kind) for values, kind in columns.values()]
-    return pa.record_batch([pa.array(bucket, pa.int32()), *made], ["bucket", *columns])
+
+def _members_of(parts, count, large):
+    """The nodes of heavy keys."""
+    held = parts[np.repeat(large, count)]
+    return {"node": held["node"], "key": held["key"].view(np.int64), "need": held["need"].astype(np.int64)}
 
 
 def _packs(parts: np.ndarray, buckets: int):
@@ -183,8 +185,8 @@ def _packs(parts: np.ndarray, buckets: int):
 def _describe(batches, size: int, percent: int, buckets: int):
     """Size and node of each document, and the part keys of the nodes, packed by bucket of the key.
 
-    A task gives the keys of a node once. Where many nodes of a batch share a key, they are linked here and one stands
-    for them; it is marked as heavy, so that all nodes with the key get linked. So no key has many rows.
+    A task gives the keys of a node once. Where many nodes of a batch share a key, they are given as its members and
+    one of them goes to the key's bucket, marked as heavy. So no bucket gets many rows of a key from one batch.
     """
     seen: set[int] = set()
     limits = _bounds(percent)
@@ -202,14 +204,13 @@ def _describe(batches, size: int, percent: int, buckets: int):
                 if len(seen) > SEEN_SETS:
                     seen.clear()
         spread = np.array([(x or 0) % buckets for x in node], np.int32)
-        yield _rows(spread, batch.column("id"), batch.column("row"), n, node)
+        yield _rows(spread, id=batch.column("id"), row=batch.column("row"), n=n, node=node)
         if not made:
             continue
         parts = np.concatenate(made)
         parts, begin, count, large = _groups(parts, np.zeros(len(parts), bool))
-        star = _star(parts, begin, count, large)
-        many = np.full(star.shape[1], ALWAYS)
-        yield _rows(star[0] % buckets, node=star[0], other=star[1], shared=many, need=np.zeros(len(many), np.int64))
+        found = _members_of(parts, count, large)
+        yield _rows(found["node"] % buckets, **found)
         names, packs = _packs(parts[~np.repeat(large, count)], buckets)
         yield _rows(names, pairs=packs)
         names, packs = _packs(parts[begin[large]], buckets)
@@ -217,7 +218,7 @@ def _describe(batches, size: int, percent: int, buckets: int):
 
 
 def _pairs(parts, begin, count, large):
-    """Pairs of nodes in the groups that are not large, with the number of keys that they share and need.
+    """Pairs of nodes in the groups that are not large: both, what either needs, and the number of keys they share.
 
     So many pairs are counted at once, and a pair may come several times with a part of its count.
     """
@@ -228,9 +229,9 @@ def _pairs(parts, begin, count, large):
         step = max(1, PAIRS // len(a))
         for few in (at[i : i + step] for i in range(0, len(at), step)):
             group = parts[few[:, None] + np.arange(size)]
-            need = np.maximum(group["need"][:, a], group["need"][:, b])
-            held.append(np.stack([group["node"][:, b].ravel(), group["node"][:, a].ravel(), need.ravel().astype(np.int64)]))
-            waiting += need.size
+            columns = [group[name][:, at].ravel().astype(np.int64) for name in ("node", "need") for at in (b, a)]
+            held.append(np.stack(columns))
+            waiting += held[-1].shape[1]
             if waiting >= PAIRS:
                 yield _once(np.concatenate(held, axis=1))
                 held, waiting = [], 0
@@ -239,19 +240,16 @@ def _pairs(parts, begin, count, large):
 
 
 def _link(batches):
-    """Links of the nodes that share a key, one bucket after the other; other rows pass."""
-
-    def linked(link, shared, need):
-        made = _rows(np.zeros(link.shape[1], np.int32), node=link[0], other=link[1], shared=shared, need=need)
-        return made.drop_columns(["bucket", "pairs", "heavy"])
+    """Pairs of nodes that share keys and members of heavy keys, one bucket after the other; other rows pass."""
 
     def flush():
         light, heavy = (np.frombuffer(b"".join(x), PART) for x in (held, marked))
-        groups = _groups(np.concatenate([light, heavy]), np.arange(len(light) + len(heavy)) >= len(light))
-        star = _star(*groups)
-        yield linked(star, np.full(star.shape[1], ALWAYS), np.zeros(star.shape[1], np.int64))
-        for pairs, shared in _pairs(*groups):
-            yield linked(pairs, shared, pairs[2])
+        parts, begin, count, large = _groups(np.concatenate([light, heavy]), np.arange(len(light) + len(heavy)) >= len(light))
+        found = [_members_of(parts, count, large)]
+        for (node, other, need, other_need), shared in _pairs(parts, begin, count, large):
+            found.append({"node": node, "other": other, "need": need, "other_need": other_need, "shared": shared})
+        for columns in found:
+            yield _rows(np.zeros(len(columns["node"]), np.int32), **columns).drop_columns(["bucket", "pairs", "heavy"])
 
     held, marked, now = [], [], None
     for batch in batches:
@@ -486,6 +484,25 @@ def _pass(batches, table: np.ndarray):
         yield batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)).drop_columns(["at"])
 
 
+def _candidates(found: DataFrame) -> DataFrame:
+    """Pairs ``node, other`` that connect all nodes which may be linked.
+
+    The two schemes of a set ask for different numbers of keys, which tells them apart. Of the keys that linked nodes
+    share, at most so many are heavy as either has of them. If that leaves one or more for either, the pair is among
+    those that share light keys. If it does not, both have few light keys, and the pair shares a light or a heavy one.
+    """
+    members = found.where("key is not null").select("node", "key", "need").distinct()
+    heavy = materialize(members.groupBy("node", "need").agg(F.count("*").alias("n_heavy")), "heavy")
+    pairs = found.where("other is not null").groupBy("node", "other", "need", "other_need").agg(F.sum("shared").alias("shared"))
+    others = heavy.select(F.col("node").alias("other"), F.col("need").alias("other_need"), F.col("n_heavy").alias("other_heavy"))
+    both = pairs.join(heavy, ["node", "need"], "left").join(others, ["other", "other_need"], "left")
+    left = F.greatest(F.col("need") - F.coalesce("n_heavy", F.lit(0)), F.col("other_need") - F.coalesce("other_heavy", F.lit(0)))
+    light = both.where(F.col("shared") >= left).select("node", "other")
+    few = members.join(heavy.where("need <= n_heavy"), ["node", "need"]).select("node", "key").distinct()
+    least = few.groupBy("key").agg(F.min("node").alias("other"))
+    return light.union(few.join(least, "key").where("node <> other").select("node", "other")).distinct()
+
+
 def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
     """``id, row, n, group`` from ``id, row, text``; linked rows have one group, texts without words have none.
 
@@ -497,15 +514,12 @@ def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHU
     buckets = 64 + math.ceil(written / BUCKET_BYTES)
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // TASK_BUCKETS)
     describe = partial(_describe, size=size, percent=percent, buckets=buckets)
-    columns = "id long, row long, n long, node long, other long, shared long, need long"
+    columns = ", ".join(f"{name} {kind}" for name, kind in _LINKS.items())
     packed = rows.select("id", "row", "text").mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
     met = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     found = materialize(met.mapInArrow(_link, columns), "sets")
-    described = found.where("other is null").select("id", "row", "n", "node")
-    # The two schemes of a set ask for different numbers of keys.
-    pairs = found.where("other is not null").groupBy("node", "other", "need")
-    close = pairs.agg(F.sum("shared").alias("shared")).where("shared >= need").select("node", "other").distinct()
-    links = components(close, "node", "other")
+    described = found.where("other is null and key is null").select("id", "row", "n", "node")
+    links = components(_candidates(found), "node", "other")
     block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
     # One text for each node of a block; the sets are made again from it, as few rows need them.
     stands = described.join(block, "node").groupBy("node", "block").agg(F.min("row").alias("row"))
