@@ -9,6 +9,7 @@ where a change of language costs ``SWITCH``; equal labels in a row are a span.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Sequence
 from functools import partial
 
 import numpy as np
@@ -245,14 +246,13 @@ def viterbi(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return label
 
 
-def _label(batches, model, switch: float, place: int):
+def _label(batches, model, switch: float):
     reader = Reader()
     languages = np.array([*model.languages, UNKNOWN], object)
     states = len(model.languages)
     for batch in small(batches):
         names, scores, known, spans = [], [], [], []
-        column = batch.column(0).field(place)
-        column = column if pa.types.is_string(column.type) else column.cast(pa.string())
+        column = batch.column(1)
         # Scores are a number a word and language, so more languages take fewer texts at a time.
         for _, texts in _slices(column, (1 << 19) * 16 // max(16, states)):
             flat, begin, word, doc, length = reader.words(texts)
@@ -305,22 +305,24 @@ def _label(batches, model, switch: float, place: int):
 
 
 def identify(
-    docs: DataFrame, model: Model | None, switch: float = SWITCH, text_col: str = "text"
+    docs: DataFrame, model: Model | None, switch: float = SWITCH, text_col: str = "text", carry: Sequence[str] | None = None
 ) -> DataFrame:
-    """``row, lang_pred, score, known, spans`` for every row, which ``row`` holds as a struct of all its columns.
+    """``row, lang_pred, score, known, spans`` for every row, which ``row`` holds as a struct of the columns ``carry``.
+
+    Without ``carry`` it holds all of them, the text too, which then comes back from the workers.
 
     ``spans`` are runs of words (runs of letters, counted from 0) with one language. ``lang_pred`` has the most letters
     (of equal ones the first by name); ``score`` is its part of the letters times its probability among the languages
     for them; ``known`` is the part of the letters in spans of any language, by their probability. Null texts, texts without letters and any text without a model are ``und`` with score 0 and no spans.
     Repeated rows and null ids are rows like others, and columns of any name pass in ``row``.
     """
-    rows = docs.select(F.struct("*").alias("row"))
+    rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.col(text_col).cast("string").alias("text"))
     spans = "array<struct<start_word: long, n_words: long, lang: string>>"
     if model is None:
         none = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"), F.expr(f"cast(array() as {spans})").alias("spans")]
         return rows.select("row", *none)
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"lang_pred string, score double, known double, spans {spans}")])
-    return rows.mapInArrow(partial(_label, model=model, switch=switch, place=docs.columns.index(text_col)), schema)
+    return rows.mapInArrow(partial(_label, model=model, switch=switch), schema)
 
 
 def held_out(id_col: str, of: int = 4, remainder: int = 2) -> Column:

@@ -70,7 +70,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     out = F.coalesce(language_id.held_out("doc_id"), F.lit(False))
     model = language_id.train(docs.where(~out))
-    found = language_id.identify(docs.select("doc_id", "text"), model)
+    found = language_id.identify(docs, model, carry=["doc_id"])
     out = F.coalesce(language_id.held_out("row.doc_id"), F.lit(False))
     return found.select("row.doc_id", out.alias("held_out"), "lang_pred", "score", "spans")
 
