@@ -20,8 +20,12 @@ LEAST_KNOWN = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are mainly in languages that the labelled documents have, be it one or several."""
     model = language_id.train(docs)
-    found = language_id.identify(docs, model)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)).select("row.*")
+    docs = numbered(docs)
+    found = language_id.identify(docs.select("number", "row.text"), model, carry=["number"])
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)
+    # Texts go to the workers and not back; few rows go.
+    gone = materialize(found.where(~known).select("row.number"), "unknown")
+    return docs.join(gone, "number", "left_anti").select("row.*")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
