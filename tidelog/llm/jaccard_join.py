@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.words import blocks, lists, mix, signed, small, spans, unsigned, words_of
+from tidelog.llm.words import blocks, give_back, lists, mix, signed, small, spans, unsigned, words_of
 from tidelog.session import materialize
 
 # N-grams of one chunk of a block, and set digests that a task remembers.
@@ -34,10 +34,14 @@ CHUNK_GRAMS = 600_000
 SEEN_SETS = 200_000
 
 # Part keys of one bucket in bytes, buckets of one task, bytes of text for a word, and pairs that are counted at once.
+# Spark hands a task's buckets to Python in one Arrow batch, so a task has few of them.
 BUCKET_BYTES = 8 << 20
-TASK_BUCKETS = 8
+TASK_BUCKETS = 2
 WORD_BYTES = 6
-PAIRS = 1 << 19
+PAIRS = 1 << 18
+
+# Rows that a task gives at once.
+ROWS = 1 << 15
 
 # Bits of the filter for the documents whose sets are needed.
 FILTER_BITS = 1 << 24
@@ -245,11 +249,15 @@ def _link(batches):
     def flush():
         light, heavy = (np.frombuffer(b"".join(x), PART) for x in (held, marked))
         parts, begin, count, large = _groups(np.concatenate([light, heavy]), np.arange(len(light) + len(heavy)) >= len(light))
-        found = [_members_of(parts, count, large)]
+        del light, heavy
+        yield from given(_members_of(parts, count, large))
         for (node, other, need, other_need), shared in _pairs(parts, begin, count, large):
-            found.append({"node": node, "other": other, "need": need, "other_need": other_need, "shared": shared})
-        for columns in found:
-            yield _rows(np.zeros(len(columns["node"]), np.int32), **columns).drop_columns(["bucket", "pairs", "heavy"])
+            yield from given({"node": node, "other": other, "need": need, "other_need": other_need, "shared": shared})
+
+    def given(columns):
+        for row in range(0, len(columns["node"]), ROWS):
+            few = {name: values[row : row + ROWS] for name, values in columns.items()}
+            yield _rows(np.zeros(len(few["node"]), np.int32), **few).drop_columns(["bucket", "pairs", "heavy"])
 
     held, marked, now = [], [], None
     for batch in batches:
@@ -260,13 +268,17 @@ def _link(batches):
             if bucket != now and (held or marked):
                 yield from flush()
                 held, marked = [], []
+                give_back()
             now = bucket
             if pairs.is_valid:
                 held.append(pairs.as_py())
             else:
                 marked.append(heavy.as_py())
+        del packs, packed
     if held or marked:
         yield from flush()
+        held, marked = [], []
+    give_back()
 
 
 def _members(batches, size: int):

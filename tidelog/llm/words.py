@@ -99,13 +99,18 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int,
 
 def small(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
     """Batches of fewer rows, so that what is made of one is small; freed memory goes back in between."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     for batch in batches:
         for row in range(0, batch.num_rows, rows):
             yield batch.slice(row, rows)
-            pa.default_memory_pool().release_unused()
-            if trim is not None:
-                trim(0)
+            give_back()
+
+
+def give_back() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def words_of(offsets: np.ndarray, raw: np.ndarray, lower: bool = True, keys: bool = True) -> Words:
