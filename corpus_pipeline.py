@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
-from tidelog.session import materialize
+from tidelog.session import materialize, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,11 +40,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     docs = numbered(docs)
     rows = docs.select(F.col("row.doc_id").cast("long").alias("id"), F.col("number").alias("row"), F.col("row.text").cast("string").alias("text"))
-    groups = materialize(jaccard_join.linked_rows(rows, size=5, percent=80).where("group is not null"), "groups")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
-    heads = groups.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1").select("group", F.col("first.row").alias("head"))
+
+    def repeats() -> DataFrame:
+        groups = materialize(jaccard_join.linked_rows(rows, size=5, percent=80).where("group is not null"), "groups")
+        first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
+        heads = groups.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1").select("group", F.col("first.row").alias("head"))
+        return groups.join(heads, "group").where("row != head").select(F.col("row").alias("number"))
+
     # Few rows go, so the texts need not move for them.
-    gone = materialize(groups.join(heads, "group").where("row != head").select(F.col("row").alias("number")), "gone")
+    gone = settle(spark, repeats, "gone")
     return docs.join(gone, "number", "left_anti").select("row.*")
 
 
@@ -61,8 +65,12 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Removes documents that hold items of the benchmark."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     docs = numbered(docs)
-    leaks = decontaminate.find_leaks(docs.select("number", "row.text"), items, id_col="number")
-    gone = materialize(leaks.select(F.col("doc_id").alias("number")).distinct(), "leaks")
+
+    def leaks() -> DataFrame:
+        found = decontaminate.find_leaks(docs.select("number", "row.text"), items, id_col="number")
+        return found.select(F.col("doc_id").alias("number")).distinct()
+
+    gone = settle(spark, leaks, "leaks")
     return docs.join(gone, "number", "left_anti").select("row.*")
 
 

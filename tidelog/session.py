@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,13 +72,53 @@ def clear_scratch(spark: SparkSession) -> None:
     storage.delete(spark, scratch_root(spark))
 
 
+# Removes the shuffle files of a query when it ends, and not when the driver next collects its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that run inside leave no shuffle files behind. The session's own choice comes back at the end."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes see exactly the same rows and splits even if executors are lost, and they read
-    only the columns they need.
+    only the columns they need. Shuffle files of the write go as soon as it ends.
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.parquet(path)
+    if (made := _on_the_way.get()) is not None:
+        made.append(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """``materialize(build(), purpose)``; the tables that were materialized on the way are removed once it is written.
+
+    No other DataFrame may go on reading those tables. If something fails, they stay for a look and for ``clear_scratch``.
+    """
+    outer = _on_the_way.get()
+    made: list[str] = []
+    token = _on_the_way.set(made)
+    try:
+        settled = materialize(build(), purpose)
+    finally:
+        _on_the_way.reset(token)
+    *passing, kept = made
+    if outer is not None:
+        outer.append(kept)
+    for path in passing:
+        storage.delete(spark, path)
+    return settled
