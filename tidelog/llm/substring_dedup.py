@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.words import blocks, mix, small, words_of
+from tidelog.llm.words import blocks, give_back, mix, small, words_of
 from tidelog.session import materialize
 
 # Repeated words in a row that make a passage, and the longest chunk.
@@ -32,6 +32,9 @@ MOST_WORDS = 64
 # Text for one bucket of keys.
 BUCKET_BYTES = 32 << 20
 
+# Rows that a task gives at once.
+ROWS = 1 << 15
+
 _A = np.uint64(0xA24BAED4963EE407)
 # Rows with one id are in the order of a digest of their texts, and equal ones in that of their numbers.
 _PLACE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("digest", "<i4"), ("at", "<i8"), ("chunk", "<i4")])
@@ -117,7 +120,9 @@ def _cut(batches, buckets: int):
 def _compare(batches):
     def flush():
         _, others, seen = _first(np.frombuffer(b"".join(held), _PLACE))
-        return _rows(np.zeros(len(others), np.int32), others, seen=seen).drop_columns(["bucket", "packs"])
+        for row in range(0, len(others), ROWS):
+            few = others[row : row + ROWS]
+            yield _rows(np.zeros(len(few), np.int32), few, seen=seen[row : row + ROWS]).drop_columns(["bucket", "packs"])
 
     held, now = [], None
     for batch in batches:
@@ -126,12 +131,16 @@ def _compare(batches):
         packs = batch.filter(packed)
         for bucket, pack in zip(packs.column("bucket").to_pylist(), packs.column("packs")):
             if bucket != now and held:
-                yield flush()
+                yield from flush()
                 held = []
+                give_back()
             now = bucket
             held.append(pack.as_py())
+        del packs, packed
     if held:
-        yield flush()
+        yield from flush()
+        held = []
+    give_back()
 
 
 def _passages(batches, min_words: int):
@@ -199,7 +208,9 @@ def _repeats(rows: DataFrame) -> DataFrame:
     buckets = 64 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES
     schema = "bucket int, at long, chunk int, seen_in long, packs binary"
     packed = rows.select("at", "key", "digest", "text").mapInArrow(partial(_cut, buckets=buckets), schema)
-    met = packed.repartition("bucket").sortWithinPartitions("bucket")
+    # Spark hands a task's packs to Python in one Arrow batch, so a task has about one bucket.
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
+    met = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     repeats = met.mapInArrow(_compare, "at long, chunk int, seen_in long")
     listed = repeats.groupBy("at").agg(F.collect_set(F.struct("chunk", "seen_in")).alias("repeats"))
     return materialize(listed, "repeats")
