@@ -137,3 +137,54 @@ def test_top_lists_do_not_sort_everything(spark, small, plan):
 
     for name in ("top_n", "latest_n", "duplicate_keys", "quality_violations"):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, small))
+
+
+def test_percentiles_equal_a_sorted_list(spark):
+    # A third group is NULL, one value of the hot group is most of its rows, one group has only NULL values.
+    rows = [("hot", 7)] * 4000 + [("hot", i) for i in range(2000)] + [("b", i * i - 50) for i in range(101)]
+    rows += [(None, i) for i in range(9)] + [("none", None)] + [("b", None)]
+    df = spark.createDataFrame(rows, "g STRING, v LONG").repartition(7)
+    shares = {"least": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "most": 1.0}
+    got = {r["g"]: r.asDict() for r in observe.percentiles(df, F.col("v"), shares, ["g"]).collect()}
+    assert set(got) == {"hot", "b", None}
+    for g, row in got.items():
+        held = sorted(v for k, v in rows if k == g and v is not None)
+        assert row["rows"] == len(held)
+        for name, share in shares.items():
+            assert row[name] == held[max(0, -(-len(held) * round(share * 100) // 100) - 1)], (g, name)
+
+
+def test_percentiles_of_a_whole_table_and_of_none(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 1001)], "v DOUBLE")
+    assert observe.percentiles(df, F.col("v"), {"p": 0.999}).first() == (1000, 999.0)
+    assert observe.percentiles(df.where("v < 0"), F.col("v"), {"p": 0.5}, ["v"]).count() == 0
+
+
+def both_diffs(source, target, ranges=16):
+    whole = reconcile.reconcile_diff(source, target, ["k"], ["a", "b"])
+    some = reconcile.diff_by_ranges(source, target, "k", ["a", "b"], ranges)
+    def listed(df):
+        return sorted(map(str, df.collect()))
+    assert listed(some) == listed(whole)
+    return some
+
+
+def test_diff_by_ranges_equals_the_whole_diff(spark):
+    schema = "k LONG, a LONG, b STRING"
+    rows = [(i, i % 7, None if i % 5 == 0 else str(i)) for i in range(-100, 900)]
+    source = spark.createDataFrame([*rows, (None, 1, "x")], schema)
+    changed = [(k, a + (k == 400), None if k == 401 else b) for k, a, b in rows if k not in (402, -100, 899)]
+    target = spark.createDataFrame([*changed, (950, 1, "new"), (None, 1, "x")], schema)
+    assert both_diffs(source, target).count() == 8
+    assert both_diffs(source, source.where("k is not null")).count() == 1
+    assert both_diffs(source.where("k is not null"), source.where("k is not null")).count() == 0
+    assert both_diffs(source, source.where("false")).count() == 1001
+    assert both_diffs(source.where("false"), target.where("false")).count() == 0
+
+
+def test_diff_by_ranges_reads_only_those_ranges(spark):
+    source = materialize(spark.range(10_000).select(F.col("id").alias("k"), F.lit(1).alias("a"), F.lit("x").alias("b")), "diff")
+    target = source.withColumn("a", F.when(F.col("k") == 5000, 2).otherwise(F.col("a")))
+    assert reconcile.differing_ranges(source, target, "k", ["a", "b"], 100) == [(5000, 5099)]
+    plan = both_diffs(source, target, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,5000)" in plan and "LessThanOrEqual(k,5099)" in plan

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.rules import at_least
 from tidelog.operators.analytics import exact_mean
 from tidelog.operators.quality import _tall
+from tidelog.operators.sequences import carried
 
 # A lag below 100 messages passes, a data file below 1000 bytes is small.
 LAG_LIMIT = 100
@@ -60,6 +64,29 @@ def latency_stats(
     )
 
 
+def percentiles(df: DataFrame, value: Column, shares: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact percentiles of each group: ``rows`` and, for each share, the smallest value that so many rows do not exceed.
+
+    Equal values become one row before any order is needed. Those are dealt by range over group and value, and their
+    counts run on from range to range, so a group with a third of the rows is in no one place. NULL values count for
+    nothing, a NULL group is a group; a group without values is left out. Works for whatever has an order.
+    """
+    if not by:
+        return percentiles(df.withColumn("pc_all", F.lit(0)), value, shares, ["pc_all"]).drop("pc_all")
+    values = df.select(*by, value.alias("pc_value")).where("pc_value is not null")
+    counted = values.groupBy(*by, "pc_value").agg(F.count("*").alias("pc_rows"))
+    running = carried(counted, by, ["pc_value"], {"pc_upto": ("pc_rows", "sum")})
+    # The running count of the last value of a group is its size, so no second pass over the rows is needed.
+    totals = running.groupBy(*by).agg(F.max("pc_upto").alias("pc_total"))
+    names = [f"pc_by_{i}" for i in range(len(by))]
+    totals = totals.select(*[F.col(c).alias(n) for c, n in zip(by, names)], "pc_total")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)]
+    ranked = running.join(totals, reduce(and_, same))
+    reached = {n: F.col("pc_upto") >= F.ceil(F.col("pc_total") * F.lit(Decimal(str(s)))) for n, s in shares.items()}
+    found = [F.min(F.when(cond, F.col("pc_value"))).alias(n) for n, cond in reached.items()]
+    return ranked.groupBy(*by).agg(F.max("pc_total").alias("rows"), *found)
+
+
 def file_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Path, size and change time of every file below ``path``; contents are not read."""
     listed = (

@@ -77,6 +77,46 @@ def latency_stats(spark, folder):
     return observe.latency_stats(events, started, commit, ["event_type"], accuracy=100_000)
 
 
+@query("""
+WITH t AS (SELECT event_type, ((epoch_us(ts) // 1000) // 30000 + 1) * 30000 - epoch_us(ts) // 1000 AS ms FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ms) AS i,
+             COUNT(*) OVER (PARTITION BY event_type) AS n FROM t WHERE ms IS NOT NULL)
+SELECT event_type, COUNT(*) AS rows, MIN(ms) FILTER (100 * i >= 50 * n) AS p50_ms,
+       MIN(ms) FILTER (100 * i >= 95 * n) AS p95_ms, MIN(ms) FILTER (100 * i >= 99 * n) AS p99_ms
+FROM r GROUP BY event_type
+""")
+def latency_percentiles(spark, folder):
+    """From the event to the next commit, exact."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    waited = ms - F.pmod(ms, F.lit(30000)) + 30000 - ms
+    shares = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    return observe.percentiles(table(spark, folder, "events"), waited, shares, ["event_type"])
+
+
+CAP = 495_000
+
+
+@query(f"""
+WITH target AS (
+  SELECT o_orderkey, LEAST(o_totalprice, {CAP}) AS o_totalprice, o_orderstatus FROM orders
+  WHERE NOT (o_orderstatus = 'P' AND o_totalprice < 1500)),
+m AS (
+  SELECT s.o_orderkey, t.o_orderkey IS NULL AS gone, s.o_totalprice IS DISTINCT FROM t.o_totalprice AS price,
+         s.o_orderstatus IS DISTINCT FROM t.o_orderstatus AS status
+  FROM orders s LEFT JOIN target t ON s.o_orderkey = t.o_orderkey)
+SELECT o_orderkey, CASE WHEN gone THEN 'missing' ELSE 'changed' END AS status,
+       CASE WHEN NOT gone THEN 'o_totalprice' END AS columns_changed
+FROM m WHERE gone OR price OR status
+""")
+def diff_by_ranges(spark, folder):
+    """Orders against a copy that caps large amounts and lost some small open orders."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    lost = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 1500)
+    capped = F.least("o_totalprice", F.lit(float(CAP))).alias("o_totalprice")
+    copy = orders.where(~lost).select("o_orderkey", capped, "o_orderstatus")
+    return reconcile.diff_by_ranges(orders, copy, "o_orderkey", ["o_totalprice", "o_orderstatus"])
+
+
 @query("""
 SELECT c_custkey AS cust, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS arrived
 FROM customer
