@@ -40,3 +40,20 @@ def lookup(
     found = carried(both, key, ["_at", "_kind", *rest, "_number"], {"_found": ("_row", "last")})
     held = F.when((F.col("_found.op") != DELETE) & F.col("_at").isNotNull(), F.col("_found"))
     return found.where("_kind = 1").select("_asked.*", held.alias("found"))
+
+
+def row_changes(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The log as signed rows: ``sign`` -1 with the row that a key had before the event, +1 with the one it has after.
+
+    ``change`` holds the event's ``order``. The row before is the key's own previous event, so the signs of all events up
+    to a moment add up to the table at that moment. A delete has no row after it, nor does its successor have one before.
+    Rows without a key are left out.
+    """
+    rows = log.dropna(subset=list(key)).withColumn("_row", F.struct(*log.columns))
+    known = carried(rows, key, order, {"_before": ("_row", "last")}, current=False)
+    both = F.array(
+        F.struct(F.lit(-1).alias("sign"), F.col("_before").alias("row")),
+        F.struct(F.lit(1).alias("sign"), F.col("_row").alias("row")),
+    )
+    signed = known.select(F.struct(*order).alias("change"), F.explode(both).alias("_signed")).select("change", "_signed.*")
+    return signed.where((F.col("row.op") != DELETE) | (F.col("row").isNotNull() & F.col("row.op").isNull())).select("change", "sign", "row.*")

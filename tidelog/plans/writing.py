@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators import apply
+from tidelog.operators import history
 from tidelog.operators.arrival import REPEAT
 from tidelog.operators.normalize import normalize
 from tidelog.plans import changes as ch
@@ -21,6 +21,7 @@ from tidelog.sources.messages import parse_envelope
 from tidelog.sources.readers import message_stream, table
 from tidelog.streaming import admission, completeness, runner, writers
 from tidelog.streaming.mirror_table import MirrorTable
+from tidelog.streaming.totals import SignedTotals
 
 # Text that one micro-batch of the registered queries takes, and the most messages in a landed file.
 BATCH_BYTES = 1 << 30
@@ -62,11 +63,11 @@ def stream_append(spark, folder, **limits):
     return spark.read.schema(log.schema).parquet(f"{root}/out")
 
 
-def _mirror(spark, folder, purpose: str, bucketed: bool, fold_every: int, **limits) -> MirrorTable:
+def _mirror(spark, folder, purpose: str, kind: str, fold_every: int, **limits) -> MirrorTable:
     messages, root, size = incoming(spark, folder, purpose, **limits)
     log = streamed_log(messages)
-    buckets = max(2, ceil(size * BUCKETS_PER_GB / (1 << 30))) if bucketed else None
-    mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER, buckets=buckets)
+    cut = {kind: max(2, ceil(size * BUCKETS_PER_GB / (1 << 30)))}
+    mirror = MirrorTable(spark, f"{root}/mirror", log.schema, KEY, ORDER, **cut)
     runner.run(log, mirror.each_batch(fold_every=fold_every, keep_versions=2), f"{root}/checkpoint")
     return mirror
 
@@ -74,13 +75,13 @@ def _mirror(spark, folder, purpose: str, bucketed: bool, fold_every: int, **limi
 @query(LIVE_SQL)
 def mirror_stream(spark, folder, **limits):
     """A bucketed mirror that is folded at every fourth batch."""
-    return _mirror(spark, folder, "mirror", True, 4, **limits).current()
+    return _mirror(spark, folder, "mirror", "buckets", 4, **limits).current()
 
 
 @query(LIVE_SQL)
 def mirror_merge_on_read(spark, folder, **limits):
-    """Base and deltas together; the base is written anew at every sixteenth batch."""
-    return _mirror(spark, folder, "deltas", False, 16, **limits).current()
+    """Base and deltas together; at every sixteenth batch the touched parts of the base are written anew."""
+    return _mirror(spark, folder, "deltas", "parts", 16, **limits).current()
 
 
 @query(f"""
@@ -187,6 +188,39 @@ def compact_files(spark, folder):
     return writers.compact_files(spark, f"{root}/small", f"{root}/large", ["operation"], ["user_id", "lsn"])
 
 
+@query(ALL_SQL)
+def compact_small_files(spark, folder):
+    """Files below the mean size are rewritten together; the larger ones stay where they are."""
+    root = scratch(spark, "compact-small")
+    row_log(spark, folder).write.partitionBy("operation").parquet(f"{root}/table")
+    mean = writers.file_sizes(spark, f"{root}/table").agg(F.avg("length")).first()[0] or 0
+    return writers.compact_small(
+        spark, f"{root}/table", f"{root}/packed", ["operation"], ["user_id", "lsn"], small_bytes=ceil(mean)
+    )
+
+
+@query(f"""
+WITH {LOG_SQL}, newest AS (SELECT * FROM img {NEWEST})
+SELECT event_type, COUNT(*) AS rows, COUNT(amount) AS filled, COUNT(DISTINCT amount) AS distinct_values,
+       MIN(amount) AS min_value, MAX(amount) AS max_value, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM newest WHERE op <> 'd' GROUP BY event_type
+""")
+def retracted_totals(spark, folder, **bounds):
+    """Totals of the current table by event type, kept batch by batch from signed rows."""
+    root = scratch(spark, "totals")
+    signed = history.row_changes(row_log(spark, folder), KEY, ORDER)
+    signed = signed.select("sign", "event_type", F.col("amount").cast("decimal(18,2)").alias("amount"))
+    signed.write.option("maxRecordsPerFile", FILE_MESSAGES).parquet(f"{root}/in")
+    reader = spark.readStream.schema(signed.schema)
+    for name, most in (bounds or {"maxBytesPerTrigger": BATCH_BYTES}).items():
+        reader = reader.option(name, most)
+    parts = max(2, ceil(storage.size(spark, f"{root}/in") * BUCKETS_PER_GB / (1 << 30)))
+    totals = SignedTotals(spark, f"{root}/totals", signed.schema, ["event_type"], "amount", parts=parts)
+    runner.run(reader.parquet(f"{root}/in"), totals.each_batch(keep_versions=2), f"{root}/checkpoint")
+    doubles = [F.col(c).cast("double").alias(c) for c in ("min_value", "max_value", "total")]
+    return totals.totals().select("event_type", "rows", "filled", "distinct_values", *doubles)
+
+
 @query(f"""
 WITH {LOG_SQL}
 SELECT to_json({{'user_id': user_id}}) AS key,

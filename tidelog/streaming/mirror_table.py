@@ -13,6 +13,10 @@ older event that arrives late cannot bring a row back.
 
 With ``buckets`` the base is bucketed by key: deltas are shuffled to it and it stays where it is. Without, base and
 deltas are shuffled by key. Keys are never NULL, so both ways give the same rows.
+
+With ``parts`` the base is kept by part of the key (``base/version=N/_p=K/``): a fold reads and writes only the parts that
+have deltas, and readers merge only those. Batches of neighbouring keys touch few parts; a batch with more keys than
+there are parts is likely to touch all of them.
 """
 
 from __future__ import annotations
@@ -22,22 +26,26 @@ from functools import reduce
 from hashlib import md5
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.apply import latest, merge_newest
 from tidelog.schema import DELETE
 from tidelog.sources import storage
+from tidelog.streaming.parted import PART, Parted
 
 
 class MirrorTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], order: Sequence[str],
-        buckets: int | None = None,
+        buckets: int | None = None, parts: int | None = None,
     ):
-        self.buckets = buckets
+        if buckets and parts:
+            raise ValueError("a base has buckets or parts, not both")
+        self.buckets, self.parts = buckets, parts
         self.spark, self.root, self.schema = spark, root, schema
+        self.base = Parted(spark, f"{root}/base", schema) if parts else None
         self.key, self.order = list(key), list(order)
 
     def _delta(self, batch_id: int) -> str:
@@ -107,6 +115,9 @@ class MirrorTable:
         start = usable[-1] if usable else -1
         paths = [self._delta(b) for b in self.batches() if start < b <= last]
         deltas = self._read(paths)
+        if self.base:
+            touched = self._touched(deltas)
+            return self._merged(start, deltas, touched).unionByName(self.base.read(start, but=touched))
         if not usable:
             return latest(deltas, self.key, self.order)
         base = self._read_base(start)
@@ -118,6 +129,16 @@ class MirrorTable:
             return merge_newest(base, hashed, self.key, self.order)
         return latest(base.unionByName(deltas), self.key, self.order)
 
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.parts)).cast("int")
+
+    def _touched(self, deltas: DataFrame) -> list[int]:
+        """Parts that have deltas: at most as many rows as there are parts."""
+        return [r[0] for r in deltas.select(self._part()).distinct().collect()]
+
+    def _merged(self, start: int, deltas: DataFrame, touched: Sequence[int]) -> DataFrame:
+        return latest(self.base.read(start, only=touched).unionByName(deltas), self.key, self.order)
+
     def current(self, through: int | None = None) -> DataFrame:
         return self.newest(through).filter(~F.coalesce(F.col("op") == DELETE, F.lit(False)))
 
@@ -129,6 +150,13 @@ class MirrorTable:
         last = through if through is not None else max([-1, *self.batches()])
         if last in self.versions():
             return last
+        if self.base:
+            start = self.base.newest_before(last)
+            deltas = self._read([self._delta(b) for b in self.batches() if start < b <= last])
+            touched = self._touched(deltas)
+            self.base.write(self._merged(start, deltas, touched).withColumn(PART, self._part()), last, touched)
+            self.base.mark(last)
+            return last
         folded = self.newest(last)
         if self.buckets:
             self._write_buckets(folded, last)
@@ -156,7 +184,9 @@ class MirrorTable:
         """Removes bases and deltas that only states older than version ``keep_from`` need."""
         if keep_from not in self.versions():
             raise ValueError(f"no folded version {keep_from}")
-        for version in self.versions():
+        if self.base:
+            self.base.vacuum(keep_from)
+        for version in [] if self.base else self.versions():
             if version < keep_from:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._base_table(version)}")
                 storage.delete(self.spark, self._base(version))

@@ -127,6 +127,39 @@ def compact_files(
     return spark.read.schema(schema).parquet(target)
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``length`` of the Parquet files below a folder, listed by Spark; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(path).select("path", "length")
+
+
+def compact_small(
+    spark: SparkSession, source: str, target: str, by: Sequence[str] = (), order: Sequence[str] = (),
+    small_bytes: int = TARGET_BYTES // 2, target_bytes: int = TARGET_BYTES, schema: T.StructType | None = None,
+) -> DataFrame:
+    """Rewrites only the files of a folder that are below ``small_bytes``, as files of about ``target_bytes`` in ``target``.
+
+    Returns the table: the larger files where they are, and what was rewritten. Spark leaves the other files out when it
+    lists them, so as many bytes are read and written as the small files have. The source stays as it is; its small
+    files can go once nobody reads them. If the rewrite is repeated it starts again.
+    """
+    schema = schema or spark.read.parquet(source).schema
+    as_text = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in by else f.dataType) for f in schema.fields]
+    )
+    size = F.col("_metadata.file_size")
+    small = file_sizes(spark, source).where(F.col("length") < small_bytes).agg(F.sum("length")).first()[0] or 0
+    large = spark.read.schema(schema).parquet(source).where(size >= small_bytes)
+    if not small:
+        return large
+    rows = spark.read.schema(as_text).parquet(source).where(size < small_bytes)
+    columns = [*by, *(order or [c for c in rows.columns if c not in by])]
+    ranged = rows.repartitionByRange(ceil(small / target_bytes), *columns).sortWithinPartitions(*columns)
+    writer = ranged.write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(*by) if by else writer).parquet(target)
+    return large.unionByName(spark.read.schema(schema).parquet(target))
+
+
 def keyed_messages(log: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Log rows as messages: JSON key, JSON value, and a NULL value for a delete."""
     keep = {"ignoreNullFields": "false"}
