@@ -92,3 +92,9 @@ def test_every_language_is_learned_and_texts_of_several_languages_stay(spark):
     assert found[9000]["score"] < 0.5 < 0.9 < found[9000]["known"] <= 1
     kept = {r["doc_id"] for r in corpus_pipeline.language(spark, df, "").collect()}
     assert kept == {d for d, _, _ in docs} | {9000}
+
+
+def test_letters_of_the_third_plane_are_letters():
+    reader = L.Reader()
+    assert reader.letter[0x30000] and reader.letter[0x31350] and not reader.letter[0x3FFFF]
+    assert reader.script_names[reader.script[0x30000]] == "han"

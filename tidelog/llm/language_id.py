@@ -56,12 +56,12 @@ class Reader:
     """Cuts texts into words of small letters, as code points, and counts their n-grams in cells."""
 
     def __init__(self):
-        self.letter = np.fromiter((chr(p).isalpha() for p in range(0x30000)), bool, 0x30000)
+        self.letter = np.fromiter((chr(p).isalpha() for p in range(0x40000)), bool, 0x40000)
         names = sorted({name for _, name in SCRIPTS} | {"other"})
         starts = [p for p, _ in SCRIPTS]
         self.script_names = names
-        self.script = np.empty(0x30000, np.int8)
-        bounds = [0, *starts, 0x30000]
+        self.script = np.empty(0x40000, np.int8)
+        bounds = [0, *starts, 0x40000]
         for a, b in zip(bounds, bounds[1:]):
             at = bisect_right(starts, a) - 1
             self.script[a:b] = names.index(SCRIPTS[at][1] if at >= 0 else "latin")
@@ -70,7 +70,7 @@ class Reader:
         """Distinct words of the texts (padded with 0 and put together), which one each word is, and its document."""
         small = [(t or "").lower() for t in texts]
         points = np.frombuffer("\n".join(small).encode("utf-32-le", "replace"), np.uint32)
-        points = np.where(points < 0x30000, points, 0)
+        points = np.where(points < 0x40000, points, 0)
         letter = self.letter[points]
         edge = np.diff(np.concatenate([[0], letter.astype(np.int8), [0]]))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
