@@ -1,7 +1,9 @@
 """Toxicity scores: gradient-boosted trees over dense features of whole texts, with isotonic calibration.
 
-Words and beginnings of words that are much more frequent in toxic texts form a lexicon, learned on one part of the
-labelled sample. The trees are fitted on a second part and calibrated on a third, so no part sees its own answers.
+Words and beginnings of words that are much more frequent in toxic texts form a lexicon; their counts are those of all
+labelled texts. The trees are fitted on one part of a labelled sample and calibrated on another. Both see features by a
+lexicon of the other half of the labelled texts, so no text helps to explain its own label; all texts that are scored
+have features by the lexicon of both halves.
 Features: densities and weights of lexicon words, how near they are to a second person, capitals, punctuation, and words
 that are obfuscated by signs, digits or repeated letters.
 """
@@ -45,6 +47,9 @@ FEATURES = (
     "capital_letters", "capital_words", "marks", "calls", "signs_inside", "digits_inside", "repeats", "length",
 )
 
+# Texts of a half by their label.
+COUNTS = ("toxic0", "clean0", "toxic1", "clean1")
+
 _PREFIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -65,9 +70,10 @@ def _terms(data: np.ndarray, start: np.ndarray, end: np.ndarray):
 
 
 def _term_counts(batches):
-    """Toxic and clean texts that have each term."""
+    """Toxic and clean texts of each half that have each term."""
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False) > 0
+        half = batch.column(2).to_numpy(zero_copy_only=False)
         for row, _, offsets, raw in blocks(batch.column(0)):
             start, end, doc = cores(raw, words_of(offsets, raw, keys=False))
             data, found = small_letters(raw), []
@@ -80,9 +86,12 @@ def _term_counts(batches):
                 found.append(place[new])
             found = np.concatenate(found)
             names, which = np.unique(found[:, 0], return_inverse=True)
-            bad = np.bincount(which, toxic[row + found[:, 1].astype(np.int64)], len(names)).astype(np.int64)
-            every = np.bincount(which, minlength=len(names))
-            yield pa.record_batch([pa.array(signed(names)), pa.array(bad), pa.array(every - bad)], ["term", "toxic", "clean"])
+            of = row + found[:, 1].astype(np.int64)
+            made = [
+                np.bincount(which, (half[of] == h) & (toxic[of] == bad), len(names)).astype(np.int64)
+                for h in (0, 1) for bad in (True, False)
+            ]
+            yield pa.record_batch([pa.array(signed(names)), *map(pa.array, made)], ["term", *COUNTS])
 
 
 def _holds(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,15 +186,26 @@ def _with_features(rows: DataFrame, lexicon, weights) -> DataFrame:
     return made.withColumn("features", array_to_vector("features"))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """``text, toxic, part`` for about ``most`` labelled rows, chosen by hash; parts 0 to 9 by another one."""
-    one = labels.where("toxic is not null and id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    share = int((1 << 30) * min(1.0, most / max(1, one.count())))
-    chosen = one.where(F.expr(f"pmod(xxhash64(id, 7), 1073741824) < {share}"))
-    part = F.expr("pmod(xxhash64(id, 11), 10)").cast("int").alias("part")
-    # The sample is bounded by ``most``, so its ids go to the documents.
-    found = docs.join(F.broadcast(chosen), "id").select("text", F.col("toxic").cast("double").alias("toxic"), part)
-    return materialize(found, "labelled")
+def _lexicon(terms: DataFrame, sizes: dict[str, int], halves: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and weights of the ``LEXICON`` strongest terms by the texts of some halves."""
+
+    def total(label: str) -> Column:
+        return sum((F.col(f"{label}{h}") for h in halves), F.lit(0))
+
+    texts = {label: sum(sizes[f"{label}{h}"] for h in halves) for label in ("toxic", "clean")}
+    odds = F.log((F.col("toxic") + 0.5) / F.lit(texts["toxic"] + 1.0) / ((F.col("clean") + 0.5) / F.lit(texts["clean"] + 1.0)))
+    counted = terms.select("term", total("toxic").alias("toxic"), total("clean").alias("clean"))
+    strong = counted.where(F.col("toxic") >= LEAST_TOXIC).withColumn("weight", odds).where("weight > 2")
+    chosen = strong.orderBy((F.col("weight") * F.log1p("toxic")).desc(), "term").limit(LEXICON).select("term", "weight").collect()
+    keys = unsigned(np.array([r["term"] for r in chosen], np.int64))
+    order = np.argsort(keys)
+    return keys[order], np.array([r["weight"] for r in chosen], np.float64)[order]
+
+
+def _by_halves(sample: DataFrame, lexicons) -> DataFrame:
+    """Rows with the features by the lexicon of the half that they are not in."""
+    parts = [_with_features(sample.where(F.col("half") == h).select("label", "text"), *lexicons[1 - h]) for h in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 def score_toxicity(
@@ -200,34 +220,37 @@ def score_toxicity(
     """``doc_id, score`` (0 to 1) for every row of ``docs``.
 
     Labels are taken for the documents for which ``training`` (an expression over ``docs``) is true; of several labels
-    of an id the largest holds, and null labels are none. Null and empty texts have features of 0. If the sample has no
-    toxic or no clean row, all scores are its toxic share, or 0 without rows. Repeated rows and null ids are
+    of an id the largest holds, and null labels are none. Null and empty texts have features of 0. If a part or half of the
+    labelled texts has no toxic or no clean row, all scores are the toxic share, or 0 without rows. Repeated rows and null ids are
     rows like others. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), training.alias("training"))
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
-    sample = _sample(rows.where("training").select("id", "text"), known, sample_rows)
-    first, second, third = sample.where("part < 5"), sample.where("part in (5, 6, 7)"), sample.where("part > 7")
-    share = {k: sample.where(c).agg(F.avg("toxic")).first()[0] for k, c in (("fit", "part in (5, 6, 7)"), ("check", "part > 7"), ("words", "part < 5"))}
+    one = known.where("toxic is not null and id is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
+    number = F.expr("pmod(xxhash64(id, 11), 10)")
+    taught = rows.where("training").select("id", "text").join(one, "id").select(
+        "id", "text", F.col("toxic").cast("double").alias("label"), F.floor(number / 5).cast("int").alias("half"),
+        number.isin(3, 4, 8, 9).alias("check"),
+    )
+    split = [F.count_if((F.col("half") == h) & (F.col("label") == bad)).alias(f"{n}{h}") for h in (0, 1) for n, bad in (("toxic", 1), ("clean", 0))]
+    sizes = taught.agg(*split).first().asDict()
+    every, bad = sum(sizes.values()), sizes["toxic0"] + sizes["toxic1"]
     plain = rows.select("id", "text")
-    if any(s is None or s <= 0 or s >= 1 for s in share.values()):
-        every = sample.agg(F.avg("toxic")).first()[0] or 0.0
-        return plain.select(F.col("id").alias("doc_id"), F.lit(float(every)).alias("score"))
-
-    sizes = first.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
-    counted = first.select("text", "toxic").mapInArrow(_term_counts, "term long, toxic long, clean long")
-    terms = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    odds = F.log((F.col("toxic") + 0.5) / F.lit(sizes[0] + 1) / ((F.col("clean") + 0.5) / F.lit(sizes[1] + 1)))
-    strong = terms.where(F.col("toxic") >= LEAST_TOXIC).withColumn("weight", odds).where("weight > 2")
-    ranked = F.col("weight") * F.log1p("toxic")
-    chosen = strong.orderBy(ranked.desc(), "term").limit(LEXICON).select("term", "weight").collect()
-    keys = unsigned(np.array([r["term"] for r in chosen], np.int64))
-    order = np.argsort(keys)
-    lexicon, weights = keys[order], np.array([r["weight"] for r in chosen], np.float64)[order]
-
-    named = [F.col("toxic").alias("label"), "text"]
-    fitted = materialize(_with_features(second.select(named), lexicon, weights), "fitted")
-    checked = materialize(_with_features(third.select(named), lexicon, weights), "checked")
+    whole = plain.select(F.col("id").alias("doc_id"), F.lit(float(bad / every) if every else 0.0).alias("score"))
+    if not all(sizes.values()):
+        return whole
+    counted = taught.select("text", F.col("label").alias("toxic"), "half").mapInArrow(_term_counts, "term long, " + ", ".join(f"{c} long" for c in COUNTS))
+    terms = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    terms = materialize(terms.where(F.col("toxic0") + F.col("toxic1") >= LEAST_TOXIC), "terms")
+    lexicons = [_lexicon(terms, sizes, (h,)) for h in (0, 1)]
+    lexicon, weights = _lexicon(terms, sizes, (0, 1))
+
+    share = int((1 << 30) * min(1.0, sample_rows / every))
+    sample = materialize(taught.where(F.expr(f"pmod(xxhash64(id, 7), 1073741824) < {share}")).select("text", "label", "half", "check"), "labelled")
+    fitted = materialize(_by_halves(sample.where("not check"), lexicons), "fitted")
+    checked = materialize(_by_halves(sample.where("check"), lexicons), "checked")
+    if any(part.select("label").distinct().count() < 2 for part in (fitted, checked)):
+        return whole
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, subsamplingRate=0.8, seed=7, minInstancesPerNode=5)
     model = trees.fit(fitted)
     raw = vector_to_array("probability")[1].alias("raw")
