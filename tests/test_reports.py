@@ -1,5 +1,7 @@
 """Quality, reconciliation and observability reports on small tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,25 @@ def test_profile_with_a_sketch(spark):
     assert (row["column_name"], row["non_null"], row["nulls"]) == ("id", 50, 0) and abs(row["distinct_values"] - 50) < 5
 
 
+def test_profile_deals_rows_before_it_removes_repeats(spark, plan):
+    text = plan(quality.column_profile(spark.range(0, 1000, 1, 1).selectExpr("id", "cast(id % 7 as string) AS s")))
+    assert not re.search(r"SortAggregate\(key=\[[^]]", text)  # no task sorts all rows of a split, once for each column
+    assert text.rindex("REPARTITION_BY_NUM") > text.rindex("HashAggregate(keys=[i")
+
+
+def test_profile_of_odd_values(spark):
+    rows = [(1, 2, -0.0, "b", [1]), (None, 2, float("nan"), "a", None), (3, None, 5.0, "a", [1]), (3, 2, 0.0, None, [2, 0])]
+    got = quality.column_profile(spark.createDataFrame(rows, "a LONG, b LONG, x DOUBLE, s STRING, l ARRAY<INT>"), ["x", "b", "a", "s", "l"])
+    assert [tuple(r)[:5] for r in got.collect()] == [
+        ("x", "double", 4, 0, 3), ("b", "bigint", 3, 1, 1), ("a", "bigint", 3, 1, 2), ("s", "string", 3, 1, 2), ("l", "array<int>", 3, 1, 2)
+    ]
+    assert [tuple(r)[5:] for r in got.collect()][1:] == [("2", "2"), ("1", "3"), ("a", "b"), ("[1]", "[2, 0]")]
+    only = quality.column_profile(spark.createDataFrame([(-0.0,)], "x DOUBLE")).first()
+    assert (only["min_value"], only["max_value"]) == ("-0.0", "-0.0")
+    none = quality.column_profile(spark.createDataFrame([], "a LONG, s STRING")).collect()
+    assert [tuple(r) for r in none] == [("a", "bigint", 0, 0, 0, None, None), ("s", "string", 0, 0, 0, None, None)]
+
+
 def test_sum_consistency_bound(spark):
     rows = spark.createDataFrame([(1, 200, 100), (2, 201, 100), (3, None, 1)], "id LONG, t LONG, p LONG")
     got = quality.sum_consistency(rows, F.col("t"), F.col("p"), ["id"]).collect()

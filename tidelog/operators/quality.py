@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.rules import first_broken
 
@@ -77,24 +78,57 @@ def quality_score(valid: Column) -> Column:
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Type, filled, missing and distinct values, smallest and largest value of every column.
 
-    Exact distinct counts make Spark carry one row per column through a shuffle after removing
-    repeats on the map side; ``approximate=True`` uses a sketch and no such shuffle.
+    Exact distinct counts take one row per column and value through a shuffle after removing repeats on the map side.
+    A large table may lie in few splits, so its rows are dealt to the session's shuffle partitions before that, and a
+    task holds the values of its part only. ``approximate=True`` uses a sketch and no shuffle.
     """
     kinds = dict(df.dtypes)
     chosen = list(columns or df.columns)
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    parts, rows = [F.count("*").alias("n")], []
-    for i, c in enumerate(chosen):
-        col = F.col(c)
+    if approximate:
+        parts = [F.count("*").alias("n")]
+        for i, c in enumerate(chosen):
+            col = F.col(c)
+            parts += [F.count(col).alias(f"f{i}"), F.approx_count_distinct(col).alias(f"d{i}"), F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
+        one = df.agg(*parts)
+    else:
+        one = _exact_profile(df, chosen)
+    rows = [
+        (F.lit(c), F.lit(kinds[c]), F.col(f"f{i}"), F.col("n") - F.col(f"f{i}"), F.col(f"d{i}"),
+         F.col(f"lo{i}").cast("string"), F.col(f"hi{i}").cast("string"))
+        for i, c in enumerate(chosen)
+    ]
+    names = ["column_name", "data_type", "non_null", "nulls", "distinct_values", "min_value", "max_value"]
+    return _tall(one, rows, names)
+
+
+def _exact_profile(df: DataFrame, chosen: Sequence[str]) -> DataFrame:
+    """``n`` and for the i-th column ``f{i}, d{i}, lo{i}, hi{i}``, told from its distinct values and their counts."""
+    values = df.select(*[F.col(c).alias(f"v{i}") for i, c in enumerate(chosen)])
+    types = [field.dataType for field in values.schema.fields]
+    slots = list({kind.json(): kind for kind in types}.values())  # columns of one type share a slot
+    slot = [f"s{slots.index(kind)}" for kind in types]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = values.withColumn("at", F.monotonically_increasing_id()).repartition(tasks, "at")
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"),
+            *[(F.col(f"v{i}") if f"s{k}" == slot[i] else F.lit(None).cast(kind)).alias(f"s{k}") for k, kind in enumerate(slots)],
+        )
+        for i in range(len(chosen))
+    ]
+    cell = dealt.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    # Grouping makes -0.0 and 0.0 one value, so what there is of them is kept beside it.
+    signs = [f"s{k}" for k, kind in enumerate(slots) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)]
+    ends = [part for s in signs for part in (F.min(s).alias(f"lo_{s}"), F.max(s).alias(f"hi_{s}"))]
+    distinct = cell.groupBy("i", *[f"s{k}" for k in range(len(slots))]).agg(F.count("*").alias("rows"), *ends)
+    parts = [F.coalesce(F.sum(F.when(F.col("i") == 0, F.col("rows"))), F.lit(0)).alias("n")]
+    for i, s in enumerate(slot):
+        own = (F.col("i") == i) & F.col(s).isNotNull()
+        low, high = (f"lo_{s}", f"hi_{s}") if s in signs else (s, s)
         parts += [
-            F.count(col).alias(f"f{i}"),
-            distinct(col).alias(f"d{i}"),
-            F.min(col).cast("string").alias(f"lo{i}"),
-            F.max(col).cast("string").alias(f"hi{i}"),
+            F.coalesce(F.sum(F.when(own, F.col("rows"))), F.lit(0)).alias(f"f{i}"),
+            F.count_if(own).alias(f"d{i}"),
+            F.min(F.when(own, F.col(low))).alias(f"lo{i}"),
+            F.max(F.when(own, F.col(high))).alias(f"hi{i}"),
         ]
-        rows.append(
-            (F.lit(c), F.lit(kinds[c]), F.col(f"f{i}"), F.col("n") - F.col(f"f{i}"), F.col(f"d{i}"),
-             F.col(f"lo{i}"), F.col(f"hi{i}"))
-        )
-    names = ["column_name", "data_type", "non_null", "nulls", "distinct_values", "min_value", "max_value"]
-    return _tall(df.agg(*parts), rows, names)
+    return distinct.agg(*parts)
