@@ -45,6 +45,51 @@ def test_classes_help_on_texts_of_two_kinds(spark):
     assert gain > 0.25  # choosing among half of the words gains log10(2) = 0.30
 
 
+def test_words_of_one_hash_get_classes_of_their_own(spark):
+    """All words but ten share a hash; only their neighbours tell them apart."""
+    rng = random.Random(7)
+    kinds = [([f"{k}{i}" for i in range(5)], [f"a{j}zz" for j in range(i, i + 30)]) for k, i in (("x", 0), ("y", 30))]
+    rows = [(d, " ".join(rng.choice(kinds[d % 2][rng.randrange(2)]) for _ in range(60))) for d in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = C.score_texts(df, F.col("doc_id") < 220, head_words=10, tail_items=1, classes=4, rounds=6).where("doc_id >= 220")
+    gain = got.agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+    assert gain > 0.25  # 0.30 at best, and with one class for the 60 words about a quarter of it
+
+
+def test_class_of_each_word_by_plain_python(spark, corpus):
+    texts = [t for _, t in corpus]
+    count = Counter(w for t in texts for w in tokens(t)[:-1])
+    key = {w: int(k) for w in count for k in [C.words_of(np.array([0, len(w.encode())]), np.frombuffer(w.encode(), np.uint8)).key[0]]}
+    head = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], key[x[0]] - (key[x[0]] >> 63 << 64)))[:15]]
+    items = C.Items(np.array([key[w] for w in head], np.uint64), 7)
+    rng = np.random.default_rng(1)
+    classes = np.append(0, rng.integers(1, 5, items.size - 1))
+    uses, matrix = rng.integers(1, 90, items.size), rng.integers(0, 50, (5, 5))
+    one = lambda w: 0 if w is None else int(items.of(C.words_of(np.array([0, len(w.encode())]), np.frombuffer(w.encode(), np.uint8)))[0])
+    item = {w: one(w) for w in [None, *count]}
+    likely = {w: np.zeros(5) for w in count}
+    step, mass = C.steps(matrix), np.array([sum(uses[classes == c] + C.ADD) + C.ADD for c in range(5)])
+    for t in texts:
+        line = [None, *tokens(t)]
+        for a, b, c in zip(line, line[1:], [*line[2:], None]):
+            if b is not None:
+                likely[b] += step[classes[item[a]], :] + step[:, classes[item[c]]] - np.log10(mass)
+    want = {}
+    for w in set(count) - set(head):
+        likely[w][classes[item[w]]] += C.STAY
+        want[key[w]] = 1 + int(likely[w][1:].argmax())
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    got = C.name_words(df, items, uses, classes, matrix).collect()
+    assert {r["key"] % (1 << 64): r["class"] for r in got} == want and len(got) == len(want)
+
+
+def test_scores_do_not_depend_on_what_is_sent(frame, corpus):
+    some = dict(head_words=30, tail_items=10, classes=6, rounds=2)
+    training = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
+    a, b = (sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in C.score_texts(frame(corpus), training, sent_words=n, **some).collect()) for n in (400_000, 20))
+    assert a == b
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(2)
     items = C.Items(np.arange(1, 6, dtype=np.uint64), 3)
