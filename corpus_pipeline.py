@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language_id.identify(docs.select("number", "row.text"), model, carry=["number"])
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)
     # Texts go to the workers and not back; few rows go.
-    gone = materialize(found.where(~known).select("row.number"), "unknown")
+    gone = materialize(found.where(~known).select("row.number"), "unknown", fine=True)
     return docs.join(gone, "number", "left_anti").select("row.*")
 
 
@@ -42,7 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.select(F.col("row.doc_id").cast("long").alias("id"), F.col("number").alias("row"), F.col("row.text").cast("string").alias("text"))
 
     def repeats() -> DataFrame:
-        groups = materialize(jaccard_join.linked_rows(rows, size=5, percent=80).where("group is not null"), "groups")
+        groups = materialize(jaccard_join.linked_rows(rows, size=5, percent=80).where("group is not null"), "groups", fine=True)
         first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
         heads = groups.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1").select("group", F.col("first.row").alias("head"))
         return groups.join(heads, "group").where("row != head").select(F.col("row").alias("number"))

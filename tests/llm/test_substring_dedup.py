@@ -4,9 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from tidelog.llm import substring_dedup as S
-from tidelog.llm.words import words_of
+from tidelog.llm.words import PART_BYTES, in_parts, small, words_of
 
 
 def keys_of(text):
@@ -94,3 +95,43 @@ def test_one_of_equal_rows_keeps_its_text_and_no_other_text_loses_words(frame):
     assert kept(None, no_id) == ["", "", no_id]
     assert kept(None, clean) == [clean] and kept(8, other) == [other] and kept(8, first) == [first]
     assert kept(9, first) == [""]
+
+
+def test_texts_move_once_and_come_back_where_something_is_cut(frame, capsys):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(900)}" for _ in range(120))
+    same = text()
+    rows = [(1, same), (2, text()), (3, same), (4, None), (5, "é 漢字"), (6, same + " and more")]
+    cut = S.cut_passages(frame(rows))
+    cut.explain()
+    sent = [line.split("MapInArrow")[1].split(")#")[0] for line in capsys.readouterr().out.split("\n") if "MapInArrow" in line]
+    assert sent and all("row#" in x and "repeats#" in x and "text#" not in x for x in sent)
+    made = {r["row"]["doc_id"]: (r["row"]["text"], r["text"], r["n_passages"]) for r in cut.collect()}
+    assert made[1] == (same, same, 0) and made[3] == (same, "", 1) and made[2][0] == made[2][1]
+    assert made[4] == (None, "", 0) and made[5] == ("é 漢字", "é 漢字", 0)
+    assert made[6][1].endswith("and more") and len(made[6][1]) < 60 and made[6][2] == 1
+
+
+def test_a_text_that_is_no_string_is_cut_as_its_string(spark):
+    docs = spark.sql("select id doc_id, cast(if(id = 3, null, 12345) as int) Text from range(4)")
+    assert sorted(r["text"] for r in S.cut_passages(docs).collect()) == ["", "12345", "12345", "12345"]
+    wide = spark.sql("select cast(null as string) other, id doc_id, concat_ws(' ', transform(sequence(1, 90), x -> 'w' || x)) Text from range(3)")
+    assert sorted(r["text"] for r in S.cut_passages(wide).collect())[:2] == ["", ""]
+
+
+def test_batches_are_put_together_or_cut_and_leave_in_parts():
+    batch = lambda a, b: pa.record_batch([pa.array(range(a, b), pa.int64())], ["x"])
+    sizes = [150, 0, 50, 700, 100, 4500, 3]
+    ends = np.cumsum([0, *sizes]).tolist()
+    made = list(small((batch(a, b) for a, b in zip(ends, ends[1:])), rows=1000))
+    assert [m.num_rows for m in made] == [1000, 1000, 1000, 1000, 1000, 500, 3]
+    assert [x for m in made for x in m.column("x").to_pylist()] == list(range(ends[-1]))
+    assert list(small(iter([]))) == []
+
+    @in_parts
+    def give(batches, letter):
+        for _ in batches:
+            yield pa.record_batch([pa.array([letter * 100_000] * 40), pa.array(range(40))], ["text", "at"])
+
+    parts = list(give([None, None], letter="x"))
+    assert all(p.nbytes <= PART_BYTES for p in parts) and [x for p in parts for x in p.column("at").to_pylist()] == [*range(40)] * 2

@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidelog.session import SHUFFLE_CLEANUP, materialize, scratch_root, settle
@@ -41,3 +42,25 @@ def test_a_failure_keeps_the_tables_and_the_session_as_it_was(spark):
     assert any(t.startswith("made-") for t in tables(spark) - before)
     assert spark.conf.get(SHUFFLE_CLEANUP) == choice
     assert materialize(spark.range(3), "after").count() == 3
+
+
+def test_workers_get_small_batches_while_a_table_is_written(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    def sent(rows, letters):
+        made = spark.range(0, rows, 1, 1).select(F.expr(f"repeat('x', {letters})").alias("text")).mapInArrow(sizes, "n long, size long")
+        return [tuple(r) for r in materialize(made, "sizes", fine=True).collect()]
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    assert {n for n, _ in sent(5000, 5)} == {200}
+    large = sent(400, 20000)
+    assert sum(n for n, _ in large) == 400 and max(size for _, size in large) <= 11 << 17
+    assert spark.conf.get(name) == before and spark.conf.get(name, None) is None
+    spark.conf.set(name, "700")  # a session's own choice
+    try:
+        assert max(n for n, _ in sent(2000, 5)) == 700 and spark.conf.get(name) == "700"
+    finally:
+        spark.conf.unset(name)

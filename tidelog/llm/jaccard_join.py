@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.words import blocks, give_back, lists, mix, signed, small, spans, unsigned, words_of
+from tidelog.llm.words import blocks, give_back, in_parts, lists, mix, signed, small, spans, unsigned, words_of
 from tidelog.session import materialize
 
 # N-grams of one chunk of a block, and set digests that a task remembers.
@@ -186,6 +186,7 @@ def _packs(parts: np.ndarray, buckets: int):
     return names, [part.tobytes() for part in np.split(parts[order], begin[1:])] if len(names) else []
 
 
+@in_parts
 def _describe(batches, size: int, percent: int, buckets: int):
     """Size and node of each document, and the part keys of the nodes, packed by bucket of the key.
 
@@ -243,6 +244,7 @@ def _pairs(parts, begin, count, large):
         yield _once(np.concatenate(held, axis=1))
 
 
+@in_parts
 def _link(batches):
     """Pairs of nodes that share keys and members of heavy keys, one bucket after the other; other rows pass."""
 
@@ -281,6 +283,7 @@ def _link(batches):
     give_back()
 
 
+@in_parts
 def _members(batches, size: int):
     """Sets of the documents that stand for their nodes."""
     for batch in small(batches):
@@ -458,7 +461,7 @@ def _solve(sets: DataFrame, percent: int, chunk_grams: int) -> DataFrame:
     everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
     at = F.when(F.col("node") == F.col("leader"), everywhere).otherwise(F.array("chunk"))
     placed = large.withColumn("chunk", F.explode(at)).select("block", "chunk", "node", "leader", "grams")
-    solved = materialize(placed.groupBy("block", "chunk").applyInArrow(lambda t: join(t), schema), "solved")
+    solved = materialize(placed.groupBy("block", "chunk").applyInArrow(lambda t: join(t), schema), "solved", fine=True)
     # What the leader did not reach meets all chunks, in groups of bounded size.
     missed = solved.where("not main").select("block", "node").distinct()
     rest = materialize(missed.join(large.select("node", "chunks", "grams"), "node"), "rest")
@@ -529,7 +532,7 @@ def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHU
     columns = ", ".join(f"{name} {kind}" for name, kind in _LINKS.items())
     packed = rows.select("id", "row", "text").mapInArrow(describe, f"bucket int, {columns}, pairs binary, heavy binary")
     met = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    found = materialize(met.mapInArrow(_link, columns), "sets")
+    found = materialize(met.mapInArrow(_link, columns), "sets", fine=True)
     described = found.where("other is null and key is null").select("id", "row", "n", "node")
     links = components(_candidates(found), "node", "other")
     block = materialize(links, "candidates").select("node", F.col("root").alias("block"))
@@ -540,7 +543,7 @@ def linked_rows(rows: DataFrame, size: int, percent: int, chunk_grams: int = CHU
     likely = placed.mapInArrow(partial(_pass, table=_filter_table(stands, "row")), "row long, text string")
     texts = likely.join(stands, "row").select("node", "block", "text")
     made = texts.mapInArrow(partial(_members, size=size), "node long, block long, digest long, grams array<long>")
-    sets = materialize(made.where("digest = node").drop("digest"), "members")
+    sets = materialize(made.where("digest = node").drop("digest"), "members", fine=True)
     root = _solve(sets, percent, chunk_grams)
     return described.join(root, "node", "left").select("id", "row", "n", F.coalesce("root", "node").alias("group"))
 

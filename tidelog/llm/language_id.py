@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.words import small
+from tidelog.llm.words import in_parts, small
 
 UNKNOWN = "und"
 
@@ -246,6 +246,7 @@ def viterbi(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return label
 
 
+@in_parts
 def _label(batches, model, switch: float):
     reader = Reader()
     languages = np.array([*model.languages, UNKNOWN], object)

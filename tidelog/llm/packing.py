@@ -141,7 +141,7 @@ def pack_documents(
     cutting = partial(_tokenize, tokenizer=tokenizer, limit=limit)
     made = rows.mapInArrow(cutting, "doc_id long, piece int, start long, length long, ids_crc32 long")
     row = F.xxhash64("doc_id", "piece", "ids_crc32")
-    pieces = materialize(made.withColumn("row", row), "pieces").select("row", "doc_id", "piece", "start", "length", "ids_crc32")
+    pieces = materialize(made.withColumn("row", row), "pieces", fine=True).select("row", "doc_id", "piece", "start", "length", "ids_crc32")
     schema = f"{_PIECES}, sequence_id long, offset long, again boolean"
     first = partial(_pack_shard, limit=limit, keep=False)
     packed = materialize(_shards(pieces, shard_pieces, 0).groupBy("shard").applyInArrow(lambda t: first(t), schema), "packed")

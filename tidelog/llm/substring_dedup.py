@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.words import blocks, give_back, mix, small, words_of
+from tidelog.llm.words import blocks, give_back, in_parts, mix, small, words_of
 from tidelog.session import materialize
 
 # Repeated words in a row that make a passage, and the longest chunk.
@@ -90,6 +90,7 @@ def _rows(bucket, places=None, packs=None, seen=None) -> pa.RecordBatch:
     return pa.record_batch([pa.array(bucket, pa.int32()), at, chunk, seen, packs], names)
 
 
+@in_parts
 def _cut(batches, buckets: int):
     for batch in small(batches):
         names = {"doc": "key", "digest": "digest", "at": "at"}
@@ -117,6 +118,7 @@ def _cut(batches, buckets: int):
         yield _rows(names, packs=[part.tobytes() for part in np.split(first[order], begin[1:])])
 
 
+@in_parts
 def _compare(batches):
     def flush():
         _, others, seen = _first(np.frombuffer(b"".join(held), _PLACE))
@@ -143,27 +145,32 @@ def _compare(batches):
     give_back()
 
 
-def _passages(batches, min_words: int):
-    """The repeated runs of each text, and the text without them."""
+@in_parts
+def _passages(batches, min_words: int, at: int | None = None):
+    """The repeated runs of each text, and the text without them where it has any.
+
+    The text is the column ``text``, or number ``at`` of those in ``row``.
+    """
     for batch in small(batches):
         spans, texts = [], []
         repeats = batch.column("repeats").to_pylist()
-        for row, end, offsets, raw in blocks(batch.column("text")):
+        column = batch.column("text") if at is None else pc.struct_field(batch.column("row"), [at])
+        for row, end, offsets, raw in blocks(column):
             words = words_of(offsets, raw)
             start = chunk_starts(words.key, words.first)
             doc = words.doc[start] if len(start) else np.zeros(0, np.int64)
             for d in range(end - row):
-                text = raw[offsets[d] : offsets[d + 1]].tobytes()
                 own = start[np.searchsorted(doc, d) : np.searchsorted(doc, d + 1)]
                 found = _runs(repeats[row + d], own, words, d, min_words)
                 spans.append([{"start_word": a, "n_words": n, "seen_in": s} for a, n, s, _, _ in found])
+                texts.append(None)
                 if found:
+                    text = raw[offsets[d] : offsets[d + 1]].tobytes()
                     base, parts = int(offsets[d]), [0]
                     for _, _, _, a, b in found:
                         parts += [a - base, b - base]
                     parts.append(len(text))
-                    text = b"".join(text[a:b] for a, b in zip(parts[::2], parts[1::2]))
-                texts.append(text.decode())
+                    texts[-1] = b"".join(text[a:b] for a, b in zip(parts[::2], parts[1::2])).decode()
         kind = pa.list_(pa.struct([("start_word", pa.int64()), ("n_words", pa.int64()), ("seen_in", pa.int64())]))
         yield pa.record_batch(
             [batch.column("row"), pa.array(spans, kind), pa.array(texts, pa.string())], ["row", "passages", "text"]
@@ -213,7 +220,7 @@ def _repeats(rows: DataFrame) -> DataFrame:
     met = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     repeats = met.mapInArrow(_compare, "at long, chunk int, seen_in long")
     listed = repeats.groupBy("at").agg(F.collect_set(F.struct("chunk", "seen_in")).alias("repeats"))
-    return materialize(listed, "repeats")
+    return materialize(listed, "repeats", fine=True)
 
 
 def find_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,7 +245,13 @@ def cut_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     What repeats is told as in ``find_passages``. Null texts come back empty.
     """
     rows = _numbered(docs, id_col, text_col)
-    joined = rows.join(_repeats(rows), "at", "left").select("row", "text", "repeats")
+    # The text moves once, in its row, and comes back only where something is cut.
+    text = F.col("row").getField(text_col).cast("string")
+    plain = [i for i, f in enumerate(docs.schema.fields) if f.name.lower() == text_col.lower() and isinstance(f.dataType, T.StringType)]
+    at = plain[0] if len(plain) == 1 else None
+    joined = rows.select("row", "at").join(_repeats(rows), "at", "left")
+    joined = joined.select("row", "repeats", *([text.alias("text")] if at is None else []))
     schema = T.StructType([joined.schema["row"], *T.StructType.fromDDL(f"passages {_SPANS}, text string")])
-    found = joined.mapInArrow(partial(_passages, min_words=min_words), schema)
-    return found.select("row", "text", F.size("passages").alias("n_passages"))
+    found = joined.mapInArrow(partial(_passages, min_words=min_words, at=at), schema)
+    left = F.coalesce(F.col("text"), text, F.lit("")).alias("text")
+    return found.select("row", left, F.size("passages").alias("n_passages"))

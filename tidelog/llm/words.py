@@ -7,8 +7,9 @@ Texts are handled a few megabytes at a time, so a task needs memory for one bloc
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -97,14 +98,49 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int,
         row = end
 
 
-def small(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
-    """Batches of fewer rows, so that what is made of one is small; freed memory goes back in between."""
-    for batch in batches:
+# Rows and bytes that are handled at once, and bytes that leave at once.
+ROWS, BATCH_BYTES, PART_BYTES = 2_000, 16 << 20, 1 << 20
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows, put together or cut, so that what is made of one is small; freed memory goes back in between."""
+    for batch in _together(batches, rows):
         for row in range(0, batch.num_rows, rows):
             yield batch.slice(row, rows)
             give_back()
 
 
+def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to so many rows and ``BATCH_BYTES``."""
+    held, many, size = [], 0, 0
+    for batch in batches:
+        if held and (many + batch.num_rows > rows or size + batch.nbytes > BATCH_BYTES):
+            whole = pa.concat_batches(held)
+            held, many, size = [], 0, 0
+            yield whole
+            del whole
+        held.append(batch)
+        many, size = many + batch.num_rows, size + batch.nbytes
+        del batch
+    if held:
+        yield pa.concat_batches(held)
+
+
+def in_parts(step: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A step over Arrow batches whose rows leave in parts of about ``PART_BYTES``, and that gives memory back at its end."""
+
+    @wraps(step)
+    def parts(batches, *args, **named):
+        for made in step(batches, *args, **named):
+            rows = max(1, made.num_rows * PART_BYTES // max(made.nbytes, 1))
+            for row in range(0, made.num_rows, rows):
+                yield made.slice(row, rows)
+        made = None
+        give_back()
+
+    return parts
+
+
 def give_back() -> None:
     """Gives freed memory back to the system."""
     pa.default_memory_pool().release_unused()

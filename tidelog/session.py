@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,17 +89,36 @@ def shuffles_removed(spark: SparkSession):
         spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+# Rows and bytes of a batch that Spark hands to a Python worker. An executor's buffers for batches of a few megabytes and
+# more stay in the arenas of its C library, one for each thread, and add up over stages.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "200", "spark.sql.execution.arrow.maxBytesPerBatch": "1m"}
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Queries that run inside hand rows to Python workers in small batches. Sizes that the session names itself stay."""
+    own = [name for name in ARROW_BATCHES if spark.conf.get(name, None) is None]
+    try:
+        for name in own:
+            spark.conf.set(name, ARROW_BATCHES[name])
+        yield
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+
+
+def materialize(df: DataFrame, purpose: str, fine: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes see exactly the same rows and splits even if executors are lost, and they read
-    only the columns they need. Shuffle files of the write go as soon as it ends.
+    only the columns they need. Shuffle files of the write go as soon as it ends. ``fine`` is for steps in Python that
+    put batches together as they need them (``words.small``).
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
     if (made := _on_the_way.get()) is not None:
         made.append(path)
-    with shuffles_removed(spark):
+    with shuffles_removed(spark), small_batches(spark) if fine else nullcontext():
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
