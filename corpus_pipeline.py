@@ -20,12 +20,15 @@ LEAST_KNOWN = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are mainly in languages that the labelled documents have, be it one or several."""
     model = language_id.train(docs)
-    docs = numbered(docs)
-    found = language_id.identify(docs.select("number", "row.text"), model, carry=["number"])
+    # Equal texts have equal languages, so a text's digest is its name and no copy of the rows is written for numbers.
+    # Null and empty texts have no letters either way.
+    digest = F.unhex(F.sha2(F.coalesce(F.col("row.text").cast("string"), F.lit("")), 256)).alias("digest")
+    docs = docs.select(F.struct("*").alias("row")).select("row", digest)
+    found = language_id.identify(docs.select("digest", "row.text"), model, carry=["digest"])
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("known") >= LEAST_KNOWN)
     # Texts go to the workers and not back; few rows go.
-    gone = materialize(found.where(~known).select("row.number"), "unknown", fine=True)
-    return docs.join(gone, "number", "left_anti").select("row.*")
+    gone = materialize(found.where(~known).select("row.digest").distinct(), "unknown", fine=True)
+    return docs.join(gone, "digest", "left_anti").select("row.*")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
