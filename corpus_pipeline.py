@@ -73,7 +73,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         found = decontaminate.find_leaks(docs.select("number", "row.text"), items, id_col="number")
         return found.select(F.col("doc_id").alias("number")).distinct()
 
-    gone = settle(spark, leaks, "leaks")
+    gone = settle(spark, leaks, "leaks", fine=True)
     return docs.join(gone, "number", "left_anti").select("row.*")
 
 

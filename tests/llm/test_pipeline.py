@@ -4,6 +4,7 @@ import os
 import random
 
 import corpus_pipeline
+from tidelog.llm import decontaminate
 from tidelog.session import scratch_root
 
 SCHEMA = "doc_id long, text string, lang string, digest string, row long, number long"
@@ -47,3 +48,24 @@ def test_language_without_rows_or_labels(spark):
     assert corpus_pipeline.language(spark, none, "").count() == 0
     unlabelled = spark.createDataFrame([(1, "some words here", None, None, None, None)], SCHEMA)
     assert corpus_pipeline.language(spark, unlabelled, "").count() == 0
+
+
+def test_decontamination_sends_small_batches(spark, tmp_path, monkeypatch):
+    made = texts(1500, 12, 3)
+    copy, item = texts(2, 40, 4)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(d, t) for d, t in enumerate([*made, f"{copy} {item}", copy, None])], "doc_id long, text string").coalesce(1)
+    seek = decontaminate._document_windows
+
+    def few(batches, **named):
+        def checked():
+            for batch in batches:
+                if batch.num_rows > 200:
+                    raise ValueError(f"{batch.num_rows} rows at once")
+                yield batch
+
+        yield from seek(checked(), **named)
+
+    monkeypatch.setattr(decontaminate, "_document_windows", few)
+    kept = corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path))
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == [*range(1500), 1501, 1502]

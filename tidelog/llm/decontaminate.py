@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.words import BLOCK_BYTES, blocks, cores, mix, signed, small_letters, word_keys, words_of
+from tidelog.llm.words import BLOCK_BYTES, blocks, cores, in_parts, mix, signed, small, small_letters, word_keys, words_of
 from tidelog.session import materialize
 
 WINDOW = 8
@@ -164,10 +164,11 @@ def _item_windows(batches, size: int):
         yield _batch(rows)
 
 
+@in_parts
 def _document_windows(batches, sizes: list[int], bits: bytes):
     """Windows of documents that pass the filter."""
     bitmap = np.frombuffer(bits, np.uint8)
-    for batch in batches:
+    for batch in small(batches):
         ids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for row, _, offsets, raw in blocks(batch.column(1), BLOCK_BYTES // 2):
             rows = []

@@ -123,8 +123,8 @@ def materialize(df: DataFrame, purpose: str, fine: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle(spark: SparkSession, build: Callable[[], DataFrame], purpose: str) -> DataFrame:
-    """``materialize(build(), purpose)``; the tables that were materialized on the way are removed once it is written.
+def settle(spark: SparkSession, build: Callable[[], DataFrame], purpose: str, fine: bool = False) -> DataFrame:
+    """``materialize(build(), purpose, fine)``; the tables that were materialized on the way are removed once it is written.
 
     No other DataFrame may go on reading those tables. If something fails, they stay for a look and for ``clear_scratch``.
     """
@@ -132,7 +132,7 @@ def settle(spark: SparkSession, build: Callable[[], DataFrame], purpose: str) ->
     made: list[str] = []
     token = _on_the_way.set(made)
     try:
-        settled = materialize(build(), purpose)
+        settled = materialize(build(), purpose, fine)
     finally:
         _on_the_way.reset(token)
     *passing, kept = made
